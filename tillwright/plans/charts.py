@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillwright.operators import kpi
+from tillwright.functions.scalars import WEEKDAYS
+from tillwright.operators import anomalies, kpi
+from tillwright.operators.calendar import in_order
 
 
 def store_bars(store_facts: DataFrame) -> DataFrame:
@@ -27,3 +29,29 @@ def combo_bars(combo_facts: DataFrame, n: int = 8) -> DataFrame:
     return kpi.top(pairs, n, "total_revenue", "store_location", "product_name").select(
         F.concat_ws(" - ", "store_location", "product_name").alias("label"), "total_revenue"
     )
+
+
+def daily_line(series: DataFrame) -> DataFrame:
+    return series.select("series_key", "ds", "revenue", (F.col("revenue") == 0).alias("closed"))
+
+
+def decomposition_lines(decomposed: DataFrame) -> DataFrame:
+    return decomposed.select("series_key", "ds", "revenue", "trend", "season_short", "season_long", "resid")
+
+
+def anomaly_marks(decomposed: DataFrame) -> DataFrame:
+    """The whole series with the anomaly kinds of each day (often none)."""
+    marked = anomalies.anomaly_kinds(anomalies.residual_fences(decomposed))
+    return marked.select("series_key", "ds", "revenue", "kinds", "level_fence")
+
+
+def differenced(series: DataFrame) -> DataFrame:
+    """Original and first difference; the first day has none and is left out."""
+    step = F.col("revenue") - F.lag("revenue").over(in_order())
+    return series.select("series_key", "ds", "revenue", step.alias("diff")).filter(F.col("diff").isNotNull())
+
+
+def pattern_bars(pattern: DataFrame) -> DataFrame:
+    weekday = F.element_at(F.array(*[F.lit(w) for w in WEEKDAYS]), F.col("slot") % 7 + 1)
+    label = F.when(F.col("pattern") == "weekday", weekday).otherwise(F.lpad(F.col("slot").cast("string"), 2, "0"))
+    return pattern.select("series_key", "pattern", label.alias("label"), "mean_revenue")

@@ -1,8 +1,8 @@
 """All registered queries and their SQL twins."""
 
-from tillwright.registry import retail
+from tillwright.registry import retail, series
 
-_PARTS = [retail.registry]
+_PARTS = [retail.registry, series.registry]
 
 QUERIES = {name: query for part in _PARTS for name, query in part.queries.items()}
 ORACLES = {name: sql for part in _PARTS for name, sql in part.oracles.items()}

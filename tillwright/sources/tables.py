@@ -57,23 +57,30 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """An invoice log, one series per market segment, no Saturday recorded.
 
     Returned lines are the cancellations (``C`` before the invoice number,
-    negative quantity); one customer in 25 is anonymous.
+    negative quantity); one customer in 25 is anonymous. Some suppliers' lines
+    lack a quantity or are write-offs, and some parts are free samples.
     """
     orders = parquet(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = parquet(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    lines = parquet(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    lines = parquet(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
     headed = orders.filter(F.weekday("o_orderdate") != SATURDAY).join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     )
     returned = F.col("l_returnflag") == "R"
     units = F.ceil(F.col("l_quantity") / 10).cast("int")
+    quantity = (
+        F.when(F.col("l_suppkey") % 97 == 13, F.lit(None))
+        .when(returned | (F.col("l_suppkey") % 89 == 7), -units)
+        .otherwise(units)
+    )
+    price = F.when(F.col("l_partkey") % 41 == 0, F.lit(0)).otherwise(10 + F.col("l_partkey") % 50)
     return lines.join(headed, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("c_mktsegment").alias("series_key"),
         F.concat(F.when(returned, "C").otherwise(""), F.col("l_orderkey").cast("string")).alias("invoice_no"),
         (F.col("l_partkey") % 50).cast("string").alias("stock_code"),
-        F.when(returned, -units).otherwise(units).alias("quantity"),
+        quantity.alias("quantity"),
         F.col("o_orderdate").alias("invoice_ts"),
-        (10 + F.col("l_partkey") % 50).cast("decimal(12,4)").alias("unit_price"),
+        price.cast("decimal(12,4)").alias("unit_price"),
         F.when(F.col("o_custkey") % 25 != 0, F.col("o_custkey")).alias("customer_id"),
     )
 
