@@ -7,11 +7,16 @@ Spark has no incomplete beta function. Both UDFs work on Arrow batches of
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+# The UDF bodies travel with the plan, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _lgamma = np.vectorize(math.lgamma, otypes=[float])
 _TINY = 1e-300
 

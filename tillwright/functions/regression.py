@@ -1,0 +1,61 @@
+"""Least squares as sums in Spark and a sweep over a small matrix.
+
+The heavy pass is a grouped sum of products; what is left per group is one
+matrix of fixed size, solved with higher-order functions in the JVM.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def product_sums(df: DataFrame, keys: Sequence[str], vector: Column, size: int) -> DataFrame:
+    """Per group the ``size``×``size`` matrix of sums of products, as ``products``.
+
+    ``vector`` is an array of regressors with the target last. Each row emits
+    one line per matrix row, which the map-side sums fold at once.
+    """
+    lines = df.select(*keys, vector.alias("_x")).select(*keys, "_x", F.posexplode("_x").alias("_i", "_xi"))
+    matrix_rows = lines.groupBy(*keys, "_i").agg(
+        F.array(*[F.sum(F.col("_xi") * F.col("_x")[j]) for j in range(size)]).alias("_row")
+    )
+    stacked = F.array_sort(F.collect_list(F.struct("_i", "_row")))
+    return matrix_rows.groupBy(*keys).agg(F.transform(stacked, lambda e: e["_row"]).alias("products"))
+
+
+def _sweep(m: Column, k: Column) -> Column:
+    """One sweep of the symmetric matrix ``m`` on its ``k``-th pivot."""
+    pivot = m[k][k]
+
+    def matrix_row(row: Column, i: Column) -> Column:
+        on_pivot = F.transform(row, lambda v, j: F.try_divide(F.when(j == k, F.lit(1.0)).otherwise(v), pivot))
+        off_pivot = F.transform(row, lambda v, j: F.when(j == k, -F.try_divide(row[k], pivot)).otherwise(
+            v - F.try_divide(row[k] * m[k][j], pivot)))
+        return F.when(i == k, on_pivot).otherwise(off_pivot)
+
+    return F.transform(m, matrix_row)
+
+
+def solved(products: Column, regressors: Column | int) -> Column:
+    """``products`` swept on its first ``regressors`` pivots.
+
+    Afterwards the last column holds the coefficients, the last cell the
+    residual sum of squares and the diagonal that of the inverse.
+    """
+    count = F.lit(regressors) if isinstance(regressors, int) else regressors
+    return F.aggregate(F.sequence(F.lit(0), (count - 1).cast("int")), products, _sweep)
+
+
+def nested_rss(products: Column, regressors: Column, target: int) -> Column:
+    """Residual sums of squares with the first 1, 2, ... regressors."""
+    start = F.struct(products.alias("m"), F.array().cast("array<double>").alias("rss"))
+
+    def merge(acc: Column, k: Column) -> Column:
+        m = acc["m"]
+        left = m[target][target] - F.try_divide(m[target][k] * m[k][target], m[k][k])
+        return F.struct(_sweep(m, k).alias("m"), F.concat(acc["rss"], F.array(left)).alias("rss"))
+
+    pivots = F.sequence(F.lit(0), (regressors - 1).cast("int"))
+    return F.aggregate(pivots, start, merge, lambda acc: acc["rss"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwright.functions.scalars import WEEKDAYS
 from tillwright.operators import anomalies, kpi
-from tillwright.operators.calendar import in_order
+from tillwright.operators.calendar import in_order, per_series
 
 
 def store_bars(store_facts: DataFrame) -> DataFrame:
@@ -55,3 +55,22 @@ def pattern_bars(pattern: DataFrame) -> DataFrame:
     weekday = F.element_at(F.array(*[F.lit(w) for w in WEEKDAYS]), F.col("slot") % 7 + 1)
     label = F.when(F.col("pattern") == "weekday", weekday).otherwise(F.lpad(F.col("slot").cast("string"), 2, "0"))
     return pattern.select("series_key", "pattern", label.alias("label"), "mean_revenue")
+
+
+def hold_out_lines(compared: DataFrame) -> DataFrame:
+    """Actual values and each model's predictions over the hold-out."""
+    return compared.select("series_key", "model", "ds", "actual", "predicted")
+
+
+def forecast_lines(series: DataFrame, forecast: DataFrame, history: int = 60) -> DataFrame:
+    """The last ``history`` trading days and the forecasts with bands and closures."""
+    newest = F.row_number().over(per_series().orderBy(F.desc("ds")))
+    past = series.withColumn("_r", newest).filter(F.col("_r") <= history).select(
+        "series_key", F.lit("history").alias("line"), "ds", F.col("revenue").alias("value"),
+        F.lit(None).cast("double").alias("lower95"), F.lit(None).cast("double").alias("upper95"),
+        F.lit(False).alias("expected_closure"),
+    )
+    return past.unionByName(forecast.select(
+        "series_key", F.col("model").alias("line"), "ds", F.col("predicted").alias("value"),
+        "lower95", "upper95", "expected_closure",
+    ))
