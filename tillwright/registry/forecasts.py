@@ -1,15 +1,14 @@
 """Registered queries of stationarity, forecasting and planning.
 
-Queries over all three models have no SQL twin, since two of them are searches
-over long recursions. Smoothing has one (a recursive table expression), so
-everything after the forecast is checked on its forecasts.
+The SQL twins run the models' recursions as recursive table expressions, one
+step per trading day.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwright.functions.recursions import SMOOTHING_COARSE, SMOOTHING_FINE
+from tillwright.functions.recursions import ARIMA_COARSE, ARIMA_STEPS, SMOOTHING_COARSE, SMOOTHING_FINE
 from tillwright.operators import anomalies, calendar, evaluation, forecasting, stationarity
 from tillwright.plans import charts, outlook, planning
 from tillwright.registry.common import Registry
@@ -50,26 +49,26 @@ def _sums(name: str, rows: str) -> str:
   FROM {name}_sweep WHERE k < pivots)"""
 
 
-def _adf_sql(source: str, value: str) -> str:
+def _adf_sql(source: str, value: str, p: str = "") -> str:
     lags = ", ".join(f"coalesce(lag(change, {i}) OVER o, 0)" for i in range(1, _LAGS + 1))
     keep = "list_transform(lags, lambda v, i: CASE WHEN i <= {p} THEN v ELSE 0.0 END)"
-    return f"""z AS (SELECT series_key, row_number() OVER w AS t, count(*) OVER (PARTITION BY series_key) AS n,
+    return f"""{p}z AS (SELECT series_key, row_number() OVER w AS t, count(*) OVER (PARTITION BY series_key) AS n,
   ({value} - avg({value}) OVER (PARTITION BY series_key)) / stddev_pop({value}) OVER (PARTITION BY series_key) AS z FROM {source}
   WINDOW w AS (PARTITION BY series_key ORDER BY ds)),
-zd AS (SELECT *, lag(z) OVER (PARTITION BY series_key ORDER BY t) AS level FROM z),
-zc AS (SELECT *, z - level AS change FROM zd),
-zl AS (SELECT series_key, t, level, change, greatest(0, least({_LAGS}, CAST(ceil(12 * pow(n / 100, 0.25)) AS BIGINT), n // 2 - 2)) AS cap,
-  [{lags}] AS lags FROM zc WINDOW o AS (PARTITION BY series_key ORDER BY t)),
-v1 AS (SELECT series_key, cap + 2 AS pivots, list_concat([1.0, level], {keep.format(p='cap')}, [change]) AS x
-  FROM zl WHERE level IS NOT NULL AND t >= cap + 2),
-{_sums('g1', 'v1')},
-aic AS (SELECT series_key, list_transform(rss[2:], lambda r, i: n * ln(r / n) + 2 * (i + 1)) AS a FROM g1_sweep WHERE k = pivots),
-pick AS (SELECT series_key, list_position(a, list_min(a)) - 1 AS p FROM aic),
-v2 AS (SELECT series_key, p + 2 AS pivots, list_concat([1.0, level], {keep.format(p='p')}, [change]) AS x
-  FROM zl JOIN pick USING (series_key) WHERE level IS NOT NULL AND t >= p + 2),
-{_sums('g2', 'v2')},
-adf AS (SELECT series_key, pivots - 2 AS lag_order, CAST(n AS BIGINT) AS n_obs,
-  m[2][{_T + 1}] / sqrt(m[{_T + 1}][{_T + 1}] / (n - pivots) * m[2][2]) AS stat FROM g2_sweep WHERE k = pivots)"""
+{p}zd AS (SELECT *, lag(z) OVER (PARTITION BY series_key ORDER BY t) AS level FROM {p}z),
+{p}zc AS (SELECT *, z - level AS change FROM {p}zd),
+{p}zl AS (SELECT series_key, t, level, change, greatest(0, least({_LAGS}, CAST(ceil(12 * pow(n / 100, 0.25)) AS BIGINT), n // 2 - 2)) AS cap,
+  [{lags}] AS lags FROM {p}zc WINDOW o AS (PARTITION BY series_key ORDER BY t)),
+{p}v1 AS (SELECT series_key, cap + 2 AS pivots, list_concat([1.0, level], {keep.format(p='cap')}, [change]) AS x
+  FROM {p}zl WHERE level IS NOT NULL AND t >= cap + 2),
+{_sums(p + 'g1', p + 'v1')},
+{p}aic AS (SELECT series_key, list_transform(rss[2:], lambda r, i: n * ln(r / n) + 2 * (i + 1)) AS a FROM {p}g1_sweep WHERE k = pivots),
+{p}pick AS (SELECT series_key, list_position(a, list_min(a)) - 1 AS p FROM {p}aic),
+{p}v2 AS (SELECT series_key, p + 2 AS pivots, list_concat([1.0, level], {keep.format(p='p')}, [change]) AS x
+  FROM {p}zl JOIN {p}pick USING (series_key) WHERE level IS NOT NULL AND t >= p + 2),
+{_sums(p + 'g2', p + 'v2')},
+{p}adf AS (SELECT series_key, pivots - 2 AS lag_order, CAST(n AS BIGINT) AS n_obs,
+  m[2][{_T + 1}] / sqrt(m[{_T + 1}][{_T + 1}] / (n - pivots) * m[2][2]) AS stat FROM {p}g2_sweep WHERE k = pivots)"""
 
 
 _ADF_OUT = """series_key, lag_order, n_obs, round(stat, 4) AS adf_stat,
@@ -91,7 +90,17 @@ def _(spark, d):
     return _rounded(rows, "adf_stat", "critical_5").select("series_key", "lag_order", "n_obs", "adf_stat", "critical_5")
 
 
-@add("stationarity_verdicts")
+_TAIL = """exp(-q * q / 2) / sqrt(2 * pi()) * u * (0.319381530 + u * (-0.356563782 + u * (1.781477937 + u * (-1.821255978 + u * 1.330274429))))"""
+
+
+@add("stationarity_verdicts", f"""WITH RECURSIVE {SERIES}, {_DIFF}, {_adf_sql('ts', 'revenue')}, {_adf_sql('df1', 'change1', 'd_')},
+both_tests AS (SELECT 'original' AS input, * FROM adf UNION ALL SELECT 'first_difference', * FROM d_adf),
+q AS (SELECT *, CASE WHEN stat <= -1.61 THEN 2.1659 + 1.4412 * stat + 0.038269 * stat * stat
+  ELSE 1.7339 + 0.93202 * stat - 0.12745 * stat * stat - 0.010368 * stat * stat * stat END AS q FROM both_tests),
+u AS (SELECT *, 1 / (1 + 0.2316419 * abs(q)) AS u FROM q),
+p AS (SELECT *, CASE WHEN stat < -18.83 THEN 0 WHEN stat > 2.74 THEN 1 WHEN q >= 0 THEN 1 - {_TAIL} ELSE {_TAIL} END AS p FROM u)
+SELECT {_ADF_OUT}, input, round(p, 4) + 0.0 AS p_value, p < 0.05 AS stationary, CASE WHEN p < 0.05 THEN 'stationary'
+  WHEN input = 'original' THEN 'difference_and_test_again' ELSE 'higher_difference_needed' END AS verdict FROM p""")
 def _(spark, d):
     return _rounded(stationarity.verdicts(durable(trading(spark, d))), "adf_stat", "p_value", "critical_5")
 
@@ -128,6 +137,47 @@ def _smoothing_sql(name: str, source: str) -> str:
   FROM {name}_r_best)"""
 
 
+def _arima_sql(name: str, source: str, seasonal: bool, horizons: str) -> str:
+    """Coefficient search and forecast of (seasonal) ARIMA on ``source``; ``horizons`` has (series_key, horizon)."""
+    def values(grid) -> str:
+        return ", ".join(f"({', '.join(repr(float(v)) for v in column)})" for column in grid.T)
+
+    def run(stage: str, tries: str) -> str:
+        return f"""{stage} AS (
+  SELECT series_key, f, t, p, q, 0 AS k, list_resize([]::DOUBLE[], 7, 0.0) AS e, list_resize([]::DOUBLE[], 7, 0.0) AS v, 0.0::DOUBLE AS sse FROM {tries}
+  UNION ALL
+  SELECT series_key, f, t, p, q, k + 1, list_prepend(shock, e[:6]), list_prepend(w, v[:6]),
+    CASE WHEN k >= 7 THEN sse + shock * shock ELSE sse END
+  FROM (SELECT r.*, x.w, x.w - f * v[1] - p * (v[6] - f * v[7]) - t * e[1] - q * (e[6] + t * e[7]) AS shock
+        FROM {stage} r JOIN {name}_w x ON x.series_key = r.series_key AND x.k = r.k + 1)),
+{stage}_best AS (SELECT r.series_key, arg_min(struct_pack(f := f, t := t, p := p, q := q, e := e, v := v), sse) AS b
+  FROM {stage} r JOIN {name}_n n ON n.series_key = r.series_key AND n.n = r.k GROUP BY 1)"""
+
+    change = "y - lag(y) OVER (PARTITION BY series_key ORDER BY step)"
+    base = f"SELECT series_key, step, {change} AS w FROM (SELECT series_key, step, revenue AS y FROM {source})"
+    if seasonal:
+        base = f"SELECT series_key, step, w - lag(w, 6) OVER (PARTITION BY series_key ORDER BY step) AS w FROM ({base})"
+    parts = [f"""{name}_w AS (SELECT series_key, w, row_number() OVER (PARTITION BY series_key ORDER BY step) AS k FROM ({base}) WHERE w IS NOT NULL),
+{name}_n AS (SELECT series_key, max(k) AS n FROM {name}_w GROUP BY 1),
+{name}_t0 AS (SELECT series_key, f, t, p, q FROM {name}_n, (VALUES {values(ARIMA_COARSE[seasonal])}) c(f, t, p, q))""",
+             run(f"{name}_s0", f"{name}_t0")]
+    for i, (own, shock) in enumerate(ARIMA_STEPS, start=1):
+        steps = [own, shock, own * seasonal, shock * seasonal]
+        lists = ", ".join(f"(SELECT unnest([{', '.join(map(str, [-z, 0.0, z] if z else [0.0]))}]) AS d{c})" for c, z in zip("ftpq", steps))
+        clip = ", ".join(f"greatest(-0.99, least(0.99, b.{c} + d{c}))::DOUBLE AS {c}" for c in "ftpq")
+        parts += [f"{name}_t{i} AS (SELECT series_key, {clip} FROM {name}_s{i - 1}_best, {lists})", run(f"{name}_s{i}", f"{name}_t{i}")]
+    undo = "y[1] + y[6] - y[7]" if seasonal else "y[1]"
+    parts.append(f"""{name} AS (SELECT series_key, b.f AS f, b.t AS t, b.p AS p, b.q AS q, b.e AS e, b.v AS v FROM {name}_s{len(ARIMA_STEPS)}_best),
+{name}_y AS (SELECT series_key, list(revenue ORDER BY step DESC)[1:7] AS y, max(revenue) AS peak FROM {source} GROUP BY 1),
+{name}_path AS (
+  SELECT series_key, 0 AS h, NULL::DOUBLE AS predicted, f, t, p, q, v, e, y, peak, horizon FROM {name} JOIN {name}_y USING (series_key) JOIN {horizons} USING (series_key)
+  UNION ALL
+  SELECT series_key, h + 1, greatest(-3 * peak, least(3 * peak, w + {undo})), f, t, p, q, list_prepend(w, v[:6]), list_prepend(0.0, e[:6]),
+    list_prepend(w + {undo}, y[:6]), peak, horizon
+  FROM (SELECT *, f * v[1] + p * (v[6] - f * v[7]) + t * e[1] + q * (e[6] + t * e[7]) AS w FROM {name}_path WHERE h < horizon))""")
+    return ",\n".join(parts)
+
+
 TRAIN = f"""{SERIES}, cuts AS (SELECT series_key, CAST(floor(count(*) * 0.8) AS BIGINT) AS cut, count(*) AS n FROM ts GROUP BY 1),
 train AS (SELECT ts.* FROM ts JOIN cuts USING (series_key) WHERE step <= cut), {_smoothing_sql('hw', 'train')}"""
 HELD = f"""{TRAIN}, held AS (SELECT ts.series_key, ts.ds, ts.step, ts.revenue AS actual, ts.step - cut AS h,
@@ -144,11 +194,25 @@ fc0 AS (SELECT u.series_key, u.step, u.ds, u.weekday_name, u.closure_source IS N
 fc AS (SELECT series_key, step, ds, weekday_name, expected_closure, round(p, 2) AS predicted,
   round(greatest(p - 1.96 * sigma, 0), 2) AS lower95, round(p + 1.96 * sigma, 2) AS upper95,
   round(round(p + 1.96 * sigma, 2) - round(greatest(p - 1.96 * sigma, 0), 2), 2) AS width FROM fc0)"""
-PLAN = f"""{AHEAD}, opened AS (SELECT *, round(width / nullif(predicted, 0), 3) AS doubt FROM fc WHERE NOT expected_closure),
+def _plan_sql(source: str) -> str:
+    """The stock plan of a forecast table."""
+    return f"""opened AS (SELECT *, round(width / nullif(predicted, 0), 3) AS doubt FROM {source} WHERE NOT expected_closure),
 limits AS (SELECT series_key, quantile_cont(predicted, 0.75) AS high_cut, quantile_cont(predicted, 0.25) AS low_cut,
   quantile_cont(doubt, 0.75) AS doubt_cut FROM opened GROUP BY 1),
 marks AS (SELECT o.*, high_cut, low_cut, doubt_cut, predicted >= high_cut AS is_peak, predicted <= low_cut AS is_trough,
-  coalesce(doubt >= doubt_cut, false) AS is_volatile FROM opened o JOIN limits USING (series_key))"""
+  coalesce(doubt >= doubt_cut, false) AS is_volatile FROM opened o JOIN limits USING (series_key)),
+ruled AS (SELECT *, CASE WHEN expected_closure THEN 'closure' WHEN shut THEN 'before_closure' WHEN is_peak THEN 'peak'
+    WHEN is_volatile THEN 'volatile' ELSE 'normal' END AS rule
+  FROM (SELECT f.*, lead(f.expected_closure) OVER (PARTITION BY f.series_key ORDER BY f.ds) AS shut, m.is_peak, m.is_trough, m.is_volatile
+    FROM {source} f LEFT JOIN marks m ON m.series_key = f.series_key AND m.ds = f.ds))"""
+
+
+_STOCK = """SELECT series_key, strftime(ds, '%Y-%m-%d') AS ds, weekday_name, predicted, rule,
+  round(CASE rule WHEN 'closure' THEN 0 WHEN 'before_closure' THEN predicted * 1.2 WHEN 'peak' THEN predicted * 1.2
+    WHEN 'volatile' THEN lower95 ELSE predicted END, 2) AS stock, CASE WHEN is_trough THEN 'two_days_of_cover' ELSE '' END AS cover FROM ruled"""
+
+
+PLAN = f"{AHEAD}, {_plan_sql('fc')}"
 
 
 def _held(spark, d):
@@ -217,13 +281,7 @@ def _(spark, d):
     return planning.key_days(_coming(spark, d))
 
 
-@add("stock_plan", f"""WITH RECURSIVE {PLAN}, n AS (SELECT f.*, lead(f.expected_closure) OVER (PARTITION BY f.series_key ORDER BY f.ds) AS shut,
-    m.is_peak, m.is_trough, m.is_volatile FROM fc f LEFT JOIN marks m ON m.series_key = f.series_key AND m.ds = f.ds),
-  k AS (SELECT *, CASE WHEN expected_closure THEN 'closure' WHEN shut THEN 'before_closure' WHEN is_peak THEN 'peak'
-    WHEN is_volatile THEN 'volatile' ELSE 'normal' END AS rule FROM n)
-  SELECT series_key, strftime(ds, '%Y-%m-%d') AS ds, weekday_name, predicted, rule,
-  round(CASE rule WHEN 'closure' THEN 0 WHEN 'before_closure' THEN predicted * 1.2 WHEN 'peak' THEN predicted * 1.2
-    WHEN 'volatile' THEN lower95 ELSE predicted END, 2) AS stock, CASE WHEN is_trough THEN 'two_days_of_cover' ELSE '' END AS cover FROM k""")
+@add("stock_plan", f"WITH RECURSIVE {PLAN} {_STOCK}")
 def _(spark, d):
     return planning.stock_plan(_coming(spark, d))
 
@@ -264,47 +322,93 @@ def _(spark, d):
 
 # -- all models ---------------------------------------------------------------
 
-@add("model_parameters")
+ALL_HELD = f"""{HELD}, tests AS (SELECT series_key, n - cut AS horizon FROM cuts), {_arima_sql('ar', 'train', False, 'tests')},
+{_arima_sql('sa', 'train', True, 'tests')},
+guesses AS (SELECT series_key, 'holt_winters' AS model, h, predicted FROM held
+  UNION ALL SELECT series_key, 'arima', h, predicted FROM ar_path WHERE h > 0
+  UNION ALL SELECT series_key, 'sarima', h, predicted FROM sa_path WHERE h > 0),
+compared AS (SELECT g.*, ts.ds, ts.step, ts.revenue AS actual FROM guesses g JOIN cuts USING (series_key)
+  JOIN ts ON ts.series_key = g.series_key AND ts.step = cut + h)"""
+ALL_METRICS = f"""{ALL_HELD}, sigmas AS (SELECT series_key, model, stddev_samp(actual - predicted) AS sigma FROM compared GROUP BY 1, 2),
+scores AS (SELECT series_key, model, count(*) AS days, avg(pow(actual - predicted, 2)) AS mse, sqrt(avg(pow(actual - predicted, 2))) AS rmse,
+  avg(abs(actual - predicted)) AS mae, any_value(sigma) AS sigma,
+  avg(CASE WHEN actual BETWEEN greatest(predicted - 1.96 * sigma, 0) AND predicted + 1.96 * sigma THEN 1.0 ELSE 0.0 END) AS coverage
+  FROM compared JOIN sigmas USING (series_key, model) GROUP BY 1, 2),
+best AS (SELECT series_key, arg_min(model, rmse) AS model, min(rmse) AS rmse FROM scores GROUP BY 1)"""
+ALL_AHEAD = f"""{ALL_METRICS}, {UPCOMING[len(SERIES) + 2:]}, thirty AS (SELECT series_key, 30 AS horizon FROM cuts),
+{_smoothing_sql('hf', 'ts')}, {_arima_sql('af', 'ts', False, 'thirty')}, {_arima_sql('sf', 'ts', True, 'thirty')},
+paths AS (SELECT series_key, 'holt_winters' AS model, u.step, level + u.step * trend + season[(u.step - 1) % 6 + 1] AS p
+    FROM upcoming u JOIN hf USING (series_key)
+  UNION ALL SELECT series_key, 'arima', h, predicted FROM af_path WHERE h > 0
+  UNION ALL SELECT series_key, 'sarima', h, predicted FROM sf_path WHERE h > 0),
+all_fc AS (SELECT series_key, model, step, ds, weekday_name, closure_source IS NOT NULL AS expected_closure, round(p, 2) AS predicted,
+  round(greatest(p - 1.96 * sigma, 0), 2) AS lower95, round(p + 1.96 * sigma, 2) AS upper95,
+  round(round(p + 1.96 * sigma, 2) - round(greatest(p - 1.96 * sigma, 0), 2), 2) AS width
+  FROM paths JOIN upcoming USING (series_key, step) JOIN scores USING (series_key, model))"""
+
+
+def _pairs(model: str, names: list[str], columns: list[str], source: str) -> str:
+    return " UNION ALL ".join(f"SELECT series_key, '{model}' AS model, '{n}' AS parameter, round({c}, 4) + 0.0 AS value FROM {source}"
+                              for n, c in zip(names, columns))
+
+
+@add("model_parameters", f"WITH RECURSIVE {ALL_HELD} {_pairs('holt_winters', ['alpha', 'beta', 'gamma'], ['a', 'b', 'g'], 'hw')} UNION ALL "
+     f"{_pairs('arima', ['ar', 'ma'], ['f', 't'], 'ar')} UNION ALL "
+     f"{_pairs('sarima', ['ar', 'ma', 'seasonal_ar', 'seasonal_ma'], ['f', 't', 'p', 'q'], 'sa')}")
 def _(spark, d):
     fitted = forecasting.parameters(forecasting.training_part(durable(trading(spark, d))))
-    return _rounded(fitted, "value")
+    return fitted.withColumn("value", F.round("value", 4) + 0.0)
 
 
-@add("model_metrics")
+@add("model_metrics", f"""WITH RECURSIVE {ALL_METRICS} SELECT series_key, model, days, round(mse, 2) AS mse, round(rmse, 4) AS rmse,
+  round(mae, 4) AS mae, round(sigma, 4) AS sigma, round(coverage, 6) AS coverage FROM scores""")
 def _(spark, d):
-    return _rounded(outlook.hold_out(trading(spark, d)).metrics, "mse", "rmse", "mae", "sigma", "coverage")
+    rows = _rounded(outlook.hold_out(trading(spark, d)).metrics, "rmse", "mae", "sigma")
+    return _rounded(_rounded(rows, "mse", places=2), "coverage", places=6)
 
 
-@add("best_models")
+@add("best_models", f"WITH RECURSIVE {ALL_METRICS} SELECT series_key, model, round(rmse, 4) AS rmse FROM best")
 def _(spark, d):
     return _rounded(outlook.hold_out(trading(spark, d)).best, "rmse")
 
 
-@add("error_by_segment")
+@add("error_by_segment", f"""WITH RECURSIVE {ALL_HELD}, s AS (SELECT *, ntile(5) OVER (PARTITION BY series_key, model ORDER BY step) AS segment FROM compared)
+  SELECT series_key, model, segment, round(sqrt(avg(pow(actual - predicted, 2))), 4) AS rmse,
+  round(avg(abs(actual - predicted)), 4) AS mae FROM s GROUP BY 1, 2, 3""")
 def _(spark, d):
     return _rounded(outlook.hold_out(trading(spark, d)).by_segment, "rmse", "mae")
 
 
-@add("forecast_30_days")
+@add("forecast_30_days", f"""WITH RECURSIVE {ALL_AHEAD} SELECT series_key, model, step, strftime(ds, '%Y-%m-%d') AS ds, weekday_name,
+  predicted, lower95, upper95, width, expected_closure FROM all_fc""")
 def _(spark, d):
     return outlook.coming_days(outlook.hold_out(trading(spark, d)), closure_lookback=LOOKBACK)
 
 
-@add("best_forecast_stock_plan")
+@add("best_forecast_stock_plan", f"""WITH RECURSIVE {ALL_AHEAD}, chosen AS (SELECT all_fc.* FROM all_fc JOIN best USING (series_key, model)),
+  {_plan_sql('chosen')} {_STOCK}""")
 def _(spark, d):
     held = outlook.hold_out(trading(spark, d))
     ahead = outlook.coming_days(held, closure_lookback=LOOKBACK)
     return planning.stock_plan(outlook.best_forecast(ahead, held.best))
 
 
-@add("rolling_origin_errors")
+@add("figure_hold_out", f"""WITH RECURSIVE {ALL_HELD} SELECT series_key, model, strftime(ds, '%Y-%m-%d') AS ds, actual,
+  round(predicted, 4) AS predicted FROM compared""")
 def _(spark, d):
-    return _rounded(forecasting.rolling_errors(forecasting.rolling_origin(durable(trading(spark, d)))), "rmse", "mae")
+    return _rounded(charts.hold_out_lines(outlook.hold_out(trading(spark, d)).compared), "predicted")
 
 
-@add("figure_hold_out")
+@add("rolling_origin_errors", f"""WITH RECURSIVE {SERIES}, ns AS (SELECT series_key AS k, count(*) AS n FROM ts GROUP BY 1),
+  origins AS (SELECT k, unnest(range(greatest(12, n - 15), n - 5)) AS cut FROM ns),
+  past AS (SELECT k || '@' || cut AS series_key, step, revenue FROM origins JOIN ts ON ts.series_key = k AND step <= cut),
+  {_smoothing_sql('ro', 'past')},
+  judged AS (SELECT k AS series_key, ts.step - cut AS ahead, ts.revenue - (level + (ts.step - cut) * trend + season[ts.step - cut]) AS miss
+    FROM origins JOIN ro ON ro.series_key = k || '@' || cut JOIN ts ON ts.series_key = k AND ts.step BETWEEN cut + 1 AND cut + 6)
+  SELECT series_key, ahead, count(*) AS origins, round(sqrt(avg(miss * miss)), 4) AS rmse, round(avg(abs(miss)), 4) AS mae
+  FROM judged GROUP BY 1, 2""")
 def _(spark, d):
-    return _rounded(charts.hold_out_lines(outlook.hold_out(trading(spark, d)).compared), "predicted")
+    return _rounded(forecasting.rolling_errors(forecasting.rolling_origin(durable(trading(spark, d)))), "rmse", "mae")
 
 
 @add("figure_forecast", f"""WITH RECURSIVE {AHEAD}, recent AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ds DESC) AS r FROM ts)
