@@ -167,9 +167,10 @@ def curves(post: DataFrame, low: float = 0.001, high: float = 0.20, points: int
         "likelihood": likelihood(x, F.col("impressions"), F.col("clicks")),
         "post_density": beta_density(x, F.col("alpha_post"), F.col("beta_post")),
     })
-    ad = Window.partitionBy("ad_id")
-    running = ad.orderBy("point").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    share = F.sum("post_density").over(running) / F.sum("post_density").over(ad)
+    ad = Window.partitionBy("ad_id").orderBy("point")
+    running = ad.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ad.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    share = F.sum("post_density").over(running) / F.sum("post_density").over(whole)
     return grid.withColumn("cumulative", share).select(
         "ad_id", "point", "theta", "prior_density", "likelihood", "post_density", "cumulative",
         F.col("cumulative").between(0.025, 0.975).alias("in_interval"),
@@ -177,11 +178,12 @@ def curves(post: DataFrame, low: float = 0.001, high: float = 0.20, points: int
 
 
 def grid_summary(grid: DataFrame) -> DataFrame:
-    """Grid interval and the rate of highest likelihood per ad."""
+    """Grid interval and the rate of highest likelihood per ad, the smaller one on a tie."""
+    height = F.struct(F.round("likelihood", 12), -F.col("theta"))
     return grid.groupBy("ad_id").agg(
         F.min(F.when(F.col("in_interval"), F.col("theta"))).alias("grid_lower"),
         F.max(F.when(F.col("in_interval"), F.col("theta"))).alias("grid_upper"),
-        F.max_by("theta", "likelihood").alias("mle"),
+        F.max_by(F.col("theta"), height).alias("mle"),
     )
 
 

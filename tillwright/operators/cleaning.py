@@ -47,9 +47,11 @@ def day_ledger(transactions: DataFrame) -> DataFrame:
     counts = tagged(transactions).groupBy(*KEY, "ds").agg(
         role("missing_core"), role("cancel"), role("sale"), role("not_positive")
     )
-    key = Window.partitionBy(*KEY)
-    earlier = key.orderBy("ds").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.sum("cancel").over(key) - F.coalesce(F.sum("sale").over(earlier), F.lit(0))
+    # Both windows share partition and order, hence one sort.
+    key = Window.partitionBy(*KEY).orderBy("ds")
+    whole = key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    earlier = key.rowsBetween(Window.unboundedPreceding, -1)
+    left = F.sum("cancel").over(whole) - F.coalesce(F.sum("sale").over(earlier), F.lit(0))
     matched = F.when(F.col("customer_id").isNull(), 0).otherwise(
         F.least(F.col("sale"), F.greatest(left, F.lit(0)))
     ).cast("bigint")

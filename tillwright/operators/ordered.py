@@ -8,37 +8,36 @@ offset, and rows are counted only inside their own slot.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-
-def same_key(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    """Equality on all columns, NULL equal to NULL."""
-    return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in columns])
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], slot: str, order: Sequence[str],
                    measures: Sequence[str]) -> DataFrame:
     """Adds ``<m>_before`` (sum over earlier rows of the key) and ``<m>_total``.
 
-    ``slot`` must rise with ``order``, for instance the hour of an event time.
-    A key has at most as many slots as the calendar has hours, whatever the
-    number of its rows.
+    ``slot`` must rise with ``order`` and not be NULL, for instance the hour of
+    an event time. A key has at most as many slots as the calendar has hours,
+    whatever the number of its rows.
+
+    The key travels as one struct, in which NULLs are equal, so the join needs
+    no null-safe form and finds the rows where the window left them: rows are
+    shuffled once, by (key, slot).
     """
-    whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
-    slots = df.groupBy(*keys, slot).agg(*[F.sum(m).alias(m) for m in measures])
+    rows = df.withColumn("_key", F.struct(*keys))
+    by_slot = Window.partitionBy("_key").orderBy(slot)
+    earlier = by_slot.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_slot.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    slots = rows.groupBy("_key", slot).agg(*[F.sum(m).alias(m) for m in measures])
     offsets = slots.select(
-        *keys, slot,
+        "_key", slot,
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_{m}_offset") for m in measures],
         *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
     )
-    inside = Window.partitionBy(*keys, slot).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumns({f"_{m}_inside": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures})
-    joined = rows.join(offsets, same_key(rows, offsets, [*keys, slot]))
-    return joined.select(
-        *[rows[c] for c in df.columns],
-        *[(rows[f"_{m}_inside"] + offsets[f"_{m}_offset"]).alias(f"{m}_before") for m in measures],
-        *[offsets[f"{m}_total"] for m in measures],
+    inside = Window.partitionBy("_key", slot).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.withColumns({f"_{m}_inside": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures})
+    return counted.join(offsets, ["_key", slot]).select(
+        *df.columns,
+        *[(F.col(f"_{m}_inside") + F.col(f"_{m}_offset")).alias(f"{m}_before") for m in measures],
+        *[f"{m}_total" for m in measures],
     )

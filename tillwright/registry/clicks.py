@@ -147,7 +147,7 @@ def _(spark, d):
 
 
 @add("click_grid_summary", f"""WITH {GRID} SELECT ad_id, round(min(theta) FILTER (share BETWEEN 0.025 AND 0.975), 6) AS grid_lower,
-  round(max(theta) FILTER (share BETWEEN 0.025 AND 0.975), 6) AS grid_upper, round(arg_max(theta, likelihood), 6) AS mle
+  round(max(theta) FILTER (share BETWEEN 0.025 AND 0.975), 6) AS grid_upper, round(first(theta ORDER BY round(likelihood, 12) DESC, theta), 6) AS mle
   FROM curve GROUP BY 1""")
 def _(spark, d):
     return _rounded(bayes.grid_summary(bayes.curves(_posterior(spark, d), high=0.999)), "grid_lower", "grid_upper", "mle")

@@ -324,7 +324,7 @@ def _(spark, d):
   UNION ALL (SELECT 'best_combo', pair, v FROM co ORDER BY v DESC, store_location, product_name LIMIT 1)
   UNION ALL (SELECT 'worst_combo', pair, v FROM co ORDER BY v, store_location, product_name LIMIT 1)""")
 def _(spark, d):
-    return mart.recommendations(_combos(spark, d), MAX_UNITS, MIN_COST)
+    return mart.recommendations(_combos(spark, d), _products(spark, d), MAX_UNITS, MIN_COST)
 
 
 # -- figures ------------------------------------------------------------------

@@ -27,21 +27,21 @@ def as_records(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("record"))
 
 
-def as_maps(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Key → value maps, split over at most 256 rows by a hash of the key.
+def as_maps(df: DataFrame, key: str, value: str, digits: int = 2) -> DataFrame:
+    """Key → value maps, one row per hash shard of the keys.
 
-    One map of everything would have to fit one task; a shard holds 1/256 of
-    the keys, and a lookup goes to the shard of its key (``shard_of``).
+    One map of everything would have to fit one task. ``digits`` hexadecimal
+    digits give 16^digits shards; a lookup goes to the shard of its key.
     """
     return (
         df.filter(F.col(key).isNotNull())
-        .groupBy(shard_of(F.col(key)).alias("shard"))
+        .groupBy(shard_of(F.col(key), digits).alias("shard"))
         .agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("entries"))
     )
 
 
-def shard_of(key: Column) -> Column:
-    return F.substring(F.md5(key.cast("string")), 1, 2)
+def shard_of(key: Column, digits: int = 2) -> Column:
+    return F.substring(F.md5(key.cast("string")), 1, digits)
 
 
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
