@@ -32,6 +32,8 @@ def main(names: list[str]) -> None:
         "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "12g",
+        # Each table is one small file, read by one task: a shuffle join spreads the rest over all threads.
+        "spark.sql.autoBroadcastJoinThreshold": "2MB",
     })
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["category_totals"](spark, folder).collect()

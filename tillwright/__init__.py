@@ -1,5 +1,5 @@
 """Retail and experiment analytics as Spark DataFrame jobs.
 
 Every public function takes and returns DataFrames and runs no action, save
-for the sinks and ``session.durable`` (a reliable checkpoint).
+for the sinks, the stream and ``session.durable``.
 """

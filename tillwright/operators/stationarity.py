@@ -54,8 +54,11 @@ def adf(series: DataFrame, value: str = "revenue", max_lag: int = MAX_LAG) -> Da
     base = base.select(
         "series_key", "t", "level", "change",
         F.greatest(F.lit(0), F.least(F.lit(max_lag), rule, F.floor(F.col("n") / 2) - 2)).cast("int").alias("cap"),
-        F.array(*[F.coalesce(F.lag("change", i).over(ordered), F.lit(0.0)) for i in range(1, max_lag + 1)]).alias("lags"),
+        F.collect_list("change").over(ordered.rowsBetween(-max_lag, -1)).alias("before"),
     ).filter(F.col("change").isNotNull())
+    # Newest first, filled up to a fixed length; rows that lack a lag they need are left out below.
+    padded = F.concat(F.reverse("before"), F.array_repeat(F.lit(0.0), max_lag))
+    base = base.withColumn("lags", F.slice(padded, 1, max_lag)).drop("before")
 
     size, target = max_lag + 3, max_lag + 2
 

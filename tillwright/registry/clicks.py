@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from tillwright.operators import bayes
 from tillwright.registry.common import Registry
+from tillwright.session import shared_folder
 from tillwright.sources import tables
 from tillwright.streaming import clicks as stream
 
@@ -185,8 +185,7 @@ def _(spark, d):
     pattern, and the table may be one file. Events are unique here, so there
     is no watermark that could turn away old files of a backfill.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tillwright-stream-")
-    run = f"{root}/click_stream-{uuid.uuid4().hex}"
+    run = f"{shared_folder(spark)}/click_stream-{uuid.uuid4().hex}"
     schema = tables.parquet(spark, d, "events").schema
     events = stream.event_stream(spark, f"{d}/events.parque[t]", schema).filter(F.col("event_type").isin("view", "click"))
     events = events.withColumn("ad_id", (F.col("user_id") % 10).cast("string"))

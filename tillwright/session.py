@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,22 +30,24 @@ def build_session(app: str = "tillwright", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; one of our own only in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tillwright-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder, its lineage cut.
+    """``df`` written to the shared folder and read back, its lineage cut.
 
     Used where a small table that was expensive to derive (a daily series out
     of the whole transaction log) feeds several branches of one plan. The copy
-    lies in the folder named by ``spark.checkpoint.dir`` and so outlives any
-    executor. A folder of our own is set only where none is configured, which
-    is right for local mode alone.
+    outlives any executor and, being Parquet, is still pruned by column.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="tillwright-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/tillwright-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
