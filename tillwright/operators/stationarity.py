@@ -82,8 +82,10 @@ def adf(series: DataFrame, value: str = "revenue", max_lag: int = MAX_LAG) -> Da
     )
     m, n_obs = F.col("m"), F.col("n_obs")
     error = F.sqrt(m[target][target] / (n_obs - F.col("lag_order") - 2) * m[1][1])
-    out = fit.select("series_key", "lag_order", n_obs.cast("bigint").alias("n_obs"),
-                     F.try_divide(m[1][target], error).alias("adf_stat"))
+    tested = fit.select("series_key", "lag_order", n_obs.cast("bigint").alias("n_obs"),
+                        F.try_divide(m[1][target], error).alias("adf_stat"))
+    # A constant or very short series has no statistic but keeps its row.
+    out = series.select("series_key").distinct().join(tested, "series_key", "left")
     return out.withColumns({
         "p_value": p_value(F.col("adf_stat")),
         "critical_5": _polynomial(1 / F.col("n_obs"), CRITICAL_5),
@@ -95,7 +97,8 @@ def verdicts(series: DataFrame, value: str = "revenue") -> DataFrame:
     raw = adf(series, value).withColumn("input", F.lit("original"))
     diff = adf(differenced(series, value), value).withColumn("input", F.lit("first_difference"))
     advice = (
-        F.when(F.col("stationary"), "stationary")
+        F.when(F.col("stationary").isNull(), "undetermined")
+        .when(F.col("stationary"), "stationary")
         .when(F.col("input") == "original", "difference_and_test_again")
         .otherwise("higher_difference_needed")
     )
