@@ -76,8 +76,7 @@ def _(spark, d):
 @add("dataset_profile", """SELECT count(*) AS row_count, 6 AS column_count,
   strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_time FROM events""")
 def _(spark, d):
-    log = tables.parquet(spark, d, "events")
-    return files.profile(log.withColumn("ts", F.to_timestamp(F.col("ts").cast("string"))), "ts")
+    return files.profile(tables.parquet(spark, d, "events").withColumn("ts", F.to_timestamp("ts")), "ts")
 
 
 @add("product_units_map", f"""WITH {DETAIL}, u AS (
