@@ -71,7 +71,7 @@ def _adf_sql(source: str, value: str, p: str = "") -> str:
   m[2][{_T + 1}] / sqrt(m[{_T + 1}][{_T + 1}] / (n - pivots) * m[2][2]) AS stat FROM {p}g2_sweep WHERE k = pivots)"""
 
 
-_ADF_OUT = """series_key, lag_order, n_obs, round(stat, 4) AS adf_stat,
+_ADF_OUT = """series_key, CAST(lag_order AS BIGINT) AS lag_order, n_obs, round(stat, 4) AS adf_stat,
   round(-2.86154 - 2.8903 / n_obs - 4.234 / pow(n_obs, 2) - 40.04 / pow(n_obs, 3), 4) AS critical_5"""
 
 

@@ -73,7 +73,7 @@ def _(spark, d):
     return files.reject_counts(files.standardise(text, T.StructType(kept)))
 
 
-@add("dataset_profile", """SELECT count(*) AS row_count, 6 AS column_count,
+@add("dataset_profile", """SELECT count(*) AS row_count, CAST(6 AS BIGINT) AS column_count,
   strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_time FROM events""")
 def _(spark, d):
     return files.profile(tables.parquet(spark, d, "events").withColumn("ts", F.to_timestamp("ts")), "ts")

@@ -80,12 +80,12 @@ def _(spark, d):
     return cleaning.audit(cleaning.day_ledger(tables.transactions(spark, d)))
 
 
-@add("net_lines", f"""WITH {TX} SELECT series_key, invoice_no, stock_code, customer_id,
+@add("net_lines", f"""WITH {TX} SELECT series_key, invoice_no, stock_code, coalesce(customer_id, -1) AS customer_id,
   strftime(invoice_ts, '%Y-%m-%d %H:%M:%S') AS invoice_ts, CAST(unit_price AS DOUBLE) AS unit_price,
   CAST(units AS BIGINT) AS quantity, count(*) AS line_count, CAST(any_value(value) AS DOUBLE) AS line_revenue
   FROM lines WHERE fate = 'kept' GROUP BY 1, 2, 3, 4, 5, 6, 7""")
 def _(spark, d):
-    return cleaning.net_lines(tables.transactions(spark, d))
+    return cleaning.net_lines(tables.transactions(spark, d)).withColumn("customer_id", F.coalesce("customer_id", F.lit(-1)))
 
 
 @add("daily_revenue", f"WITH {DAILY} SELECT series_key, {ISO} AS ds, revenue, line_count FROM daily")
