@@ -187,14 +187,16 @@ def grid_summary(grid: DataFrame) -> DataFrame:
     )
 
 
-def sequential(events: DataFrame, block: int = BLOCK, prior: tuple[float, float] = PRIOR) -> DataFrame:
+def sequential(events: DataFrame, block: int = BLOCK, prior: tuple[float, float] = PRIOR,
+               slot: str = "HOUR") -> DataFrame:
     """The posterior after every ``block`` impressions of an ad, in event order.
 
     Each block starts from the posterior of the block before. An ad's events
-    are numbered through hourly slots, so a hot ad is not one task's work.
+    are numbered through time slots, so a hot ad is not one task's work; longer
+    slots mean fewer slot totals where most ads are cold.
     """
     rows = events.select(
-        "ad_id", "ts", "event_id", F.date_trunc("HOUR", "ts").alias("slot"),
+        "ad_id", "ts", "event_id", F.date_trunc(slot, "ts").alias("slot"),
         F.lit(1).alias("impression"), (F.col("event_type") == "click").cast("int").alias("click"),
     )
     numbered = running_totals(rows, ["ad_id"], "slot", ["ts", "event_id"], ["impression", "click"])

@@ -16,7 +16,7 @@ registry = Registry()
 add = registry.add
 
 # Slow-mover limits that suit the benchmark tables (the library's own defaults are 3 and 100).
-MAX_UNITS, MIN_COST = 40_000, 100.0
+MAX_UNITS, MIN_COST = 22_000, 100.0
 
 
 def _products(spark, d):
@@ -162,9 +162,9 @@ def _(spark, d):
 @add("category_totals_above", f"""WITH {_ORDERS}
   SELECT category, CAST(sum(amount) AS BIGINT) AS total_sales,
   round(CAST(sum(amount) AS DOUBLE) / count(*), 4) AS avg_order_amount FROM orders_c GROUP BY 1
-  HAVING total_sales > 45000000000""")
+  HAVING total_sales > 75000000000""")
 def _(spark, d):
-    totals = kpi.category_totals(tables.category_orders(spark, d), over=45_000_000_000)
+    totals = kpi.category_totals(tables.category_orders(spark, d), over=75_000_000_000)
     return totals.withColumn("avg_order_amount", F.round("avg_order_amount", 4))
 
 
