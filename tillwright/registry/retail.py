@@ -289,10 +289,9 @@ def _(spark, d):
 
 
 @add("average_sale_by_store", f"""WITH {DETAIL} SELECT store_location, count(*) AS sales_count,
-  round(CAST(sum(total_amount) AS DOUBLE) / count(*), 4) AS avg_sale_amount FROM detail GROUP BY 1 HAVING count(*) >= 590""")
+  CAST(sum(total_amount) AS DOUBLE) / count(*) AS avg_sale_amount FROM detail GROUP BY 1 HAVING count(*) >= 590""")
 def _(spark, d):
-    averages = kpi.average_sale_by_store(_stores(spark, d), min_sales=590)
-    return averages.withColumn("avg_sale_amount", F.round("avg_sale_amount", 4))
+    return kpi.average_sale_by_store(_stores(spark, d), min_sales=590)
 
 
 @add("top_bottom_products", f"""WITH {DETAIL}, u AS (SELECT product_name, category, CAST(sum(quantity) AS BIGINT) AS total_units,
