@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,13 +30,15 @@ def build_session(app: str = "tillwright", master: str | None = None, **conf: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, one in the warehouse, which is shared as well.
+
+    A machine-local folder is refused on a cluster of several machines.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tillwright-")
-        spark.sparkContext.setCheckpointDir(folder)
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    several = not spark.sparkContext.master.startswith("local")
+    if several and folder.startswith(("file:", "/")) and not spark.conf.get("spark.hadoop.fs.defaultFS", ""):
+        raise RuntimeError(f"{folder} is local to each machine; set spark.checkpoint.dir to a folder that all executors share")
     return folder
 
 
