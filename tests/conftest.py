@@ -11,9 +11,10 @@ from tillwright.sources import schemas
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(app="tests", master=f"local[{os.environ.get('BENCH_CPUS', '8')}]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('checkpoints')}",
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session
