@@ -74,10 +74,12 @@ def _bits(runs: Column) -> Column:
 
 def cleaned(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with ``text`` rid of its dropped lines, and n_lines (before), n_dropped."""
+    kept = passing(docs, "n_lines", "n_dropped")
+    docs = docs.select(*kept)
     marks = bitmaps.select(F.col("doc_id").alias("_tw_doc"), F.col("row").alias("_tw_row"), _bits(F.col("dropped")).alias("_tw_bits"),
                            F.col("n_dropped").cast("long").alias("_tw_gone"))
     joined = docs.join(marks, F.col("doc_id").eqNullSafe(F.col("_tw_doc")) & (F.xxhash64("text") == F.col("_tw_row")), "left")
-    lines, kept = lines_of(F.col("text")), passing(docs, "n_lines", "n_dropped")
+    lines = lines_of(F.col("text"))
     stay = F.filter(lines, lambda _, i: F.coalesce(F.substring(F.col("_tw_bits"), i + 1, F.lit(1)) != F.lit(b"0"), F.lit(True)))
     text = F.when(F.col("_tw_gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(stay, "\n"))
     return joined.select(*(text.alias("text") if c == "text" else F.col(c) for c in kept),
