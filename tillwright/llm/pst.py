@@ -71,7 +71,7 @@ class Chunk:
     def arrays(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The different symbols, and the numbers and places of all."""
         sizes = np.array([len(p) for p in self.parts], np.int64)
-        place = np.arange(self.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        place = (np.arange(self.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
         return list(self.numbers), np.concatenate(self.parts or [np.zeros(0, np.int32)]), place
 
 
@@ -140,15 +140,15 @@ def lookup(table: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Runs:
-    """Runs in the order of their codes; the words in them are runs of their own."""
+    """Codes of runs in order; the single words among them by name. The names of longer runs aren't held."""
 
-    def __init__(self, runs: set[bytes]):
-        self.names = sorted(runs | {w for run in runs for w in run.split(b" ")}, key=code_of)
-        self.codes = np.array([code_of(r) for r in self.names], np.uint64)
-        self.single = {r: k for k, r in enumerate(self.names) if b" " not in r}
-        self.hashes = np.zeros(len(self.names), np.uint64)
-        for word, slot in self.single.items():
-            self.hashes[slot] = hashed(word)
+    def __init__(self, words: list[bytes], longer: list[int] | np.ndarray):
+        own = np.array([code_of(w) for w in words], np.uint64)
+        self.codes = np.unique(np.concatenate([own, np.asarray(longer, np.uint64)]))
+        slots = np.searchsorted(self.codes, own)
+        self.single = dict(zip(words, slots.tolist()))
+        self.hashes = np.zeros(len(self.codes), np.uint64)
+        self.hashes[slots] = np.array([hashed(w) for w in words], np.uint64)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """Slots of single words, -1 for words that are in no run."""
@@ -220,8 +220,9 @@ def grow(counts: dict[bytes, int], root: dict[bytes, float], gain: float) -> Tre
         if gained >= gain:
             rest[context] = left
             adds |= {context + b" " + w: p for w, p in own.items()}
-    runs = Runs(set(counts))
-    return Tree(runs, np.array([rest.get(r, 1.0) for r in runs.names]), np.array([adds.get(r, 0.0) for r in runs.names]))
+    names = sorted(counts, key=code_of)
+    runs = Runs([r for r in names if b" " not in r], [code_of(r) for r in names])
+    return Tree(runs, np.array([rest.get(r, 1.0) for r in names]), np.array([adds.get(r, 0.0) for r in names]))
 
 
 def learned(training: DataFrame, total: int, kinds: int, share: float, least: int, gain: float) -> Tree:
@@ -233,25 +234,30 @@ def learned(training: DataFrame, total: int, kinds: int, share: float, least: in
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(frequent(chunk, threshold * chunk.size / total), pa.binary())], ["run"])
+            runs = frequent(chunk, threshold * chunk.size / total)
+            runs += sorted({w for run in runs for w in run.split(b" ")})
+            codes = np.array([code_of(r) for r in runs], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array([b" " not in r for r in runs], pa.bool_()), pa.array(runs, pa.binary())],
+                                             ["code", "single", "run"])
 
-    named = dealt.mapInArrow(candidates, "run binary").distinct().toArrow()["run"].to_pylist() if total else []
-    shared = spark.sparkContext.broadcast(Runs(set(named)))
+    named = durable(dealt.mapInArrow(candidates, "code long, single boolean, run binary").distinct())
+    words = named.where("single").select("run").toArrow()["run"].to_pylist()
+    codes = named.where("NOT single").select("code").toArrow()["code"].to_numpy().astype(np.int64)
+    shared = spark.sparkContext.broadcast(Runs(words, codes.view(np.uint64)))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = shared.value
-        summed = np.zeros(len(runs.names), np.int64)
+        summed = np.zeros(len(runs.codes), np.int64)
         for chunk in chunks(batches):
             names, numbers, place = chunk.arrays()
             for slots in runs.ending(runs.of(names)[numbers], place):
                 summed += np.bincount(slots[slots >= 0], minlength=len(summed))
         there = np.flatnonzero(summed)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(summed[there])], ["slot", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(runs.codes[there].view(np.int64)), pa.array(summed[there])], ["code", "n"])
 
-    pairs = training.select("text").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    held = pairs.where(F.col("n") >= threshold).toArrow() if named else pa.table({"slot": [], "n": []})
-    names = shared.value.names
-    exact = {names[slot]: n for slot, n in zip(held["slot"].to_pylist(), held["n"].to_pylist())}
+    often = training.select("text").mapInArrow(counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
+    held = named.join(often, "code").select("run", "n").toArrow()
+    exact = dict(zip(held["run"].to_pylist(), held["n"].to_pylist()))
     return grow(exact, {r: (n + 0.1) / (total + 0.1 * (kinds + 1)) for r, n in exact.items() if b" " not in r}, gain)
 
 
