@@ -75,13 +75,13 @@ class Chunk:
         return list(self.numbers), np.concatenate(self.parts or [np.zeros(0, np.int32)]), place
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    """The texts in chunks of CHUNK symbols, and up to twice as many in the last."""
+def chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Chunk]:
+    """The texts in chunks of ``limit`` symbols, and up to twice as many in the last."""
     before, chunk = None, Chunk()
     for batch in batches:
         for text in batch.column("text"):
             chunk.add(text.as_py())
-            if chunk.size >= CHUNK:
+            if chunk.size >= limit:
                 if before:
                     yield before
                 before, chunk = chunk, Chunk()
@@ -233,7 +233,7 @@ def learned(training: DataFrame, total: int, kinds: int, share: float, least: in
     dealt = training.select("text").coalesce(max(1, total // CHUNK))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, CHUNK):
             runs = frequent(chunk, threshold * chunk.size / total)
             runs += sorted({w for run in runs for w in run.split(b" ")})
             codes = np.array([code_of(r) for r in runs], np.uint64).view(np.int64)
@@ -248,7 +248,7 @@ def learned(training: DataFrame, total: int, kinds: int, share: float, least: in
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = shared.value
         summed = np.zeros(len(runs.codes), np.int64)
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, CHUNK // 8):
             names, numbers, place = chunk.arrays()
             for slots in runs.ending(runs.of(names)[numbers], place):
                 summed += np.bincount(slots[slots >= 0], minlength=len(summed))
