@@ -59,7 +59,7 @@ def chunks(text: str, limit: int = LONG) -> Iterator[str]:
 class Segments(dict):
     """Segment to packed ids; at most ``most`` short segments are remembered."""
 
-    def __init__(self, encoding: tiktoken.Encoding, most: int = 400_000):
+    def __init__(self, encoding: tiktoken.Encoding, most: int = 200_000):
         super().__init__()
         self.encoding, self.most = encoding, most
 
@@ -97,7 +97,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            rows = [encode_text(t or "", shared.value, pattern) for t in batch.column(text).to_pylist()]
+            rows = [encode_text(t.as_py() or "", shared.value, pattern) for t in batch.column(text)]
             ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
@@ -112,9 +112,9 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                out = pa.array([decode_ids(x or [], shared.value) for x in batch.column(ids).to_pylist()], pa.binary())
+            for start in range(0, whole.num_rows, 250):
+                batch = whole.slice(start, 250)
+                out = pa.array([decode_ids(x.as_py() or [], shared.value) for x in batch.column(ids)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)

@@ -41,7 +41,7 @@ class Buckets(dict):
     def __missing__(self, word: str) -> tuple[int, int]:
         found = xxhash.xxh32_intdigest(word) % HALF, HALF + xxhash.xxh32_intdigest(shape(word)) % HALF
         if len(word) <= 40:
-            if len(self) >= 300_000:
+            if len(self) >= 150_000:
                 self.clear()
             self[word] = found
         return found
@@ -136,7 +136,7 @@ def score(docs: DataFrame, model: Ordinal, wanted: float = 1.0, name: str = "rat
         m = shared.value
         at = np.searchsorted(m.grades, wanted) - 1
         for texts in batches:
-            above = [m.above(features(t or "")) for t in texts.to_pylist()]
+            above = [m.above(features(t.as_py() or "")) for t in texts]
             tails = [1.0 if at < 0 else 0.0 if at >= len(a) else float(a[at]) for a in above]
             yield pa.StructArray.from_arrays([pa.array([m.expected(a) for a in above], pa.float64()), pa.array(tails, pa.float64())], ["expected", "tail"])
 

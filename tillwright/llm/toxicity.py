@@ -66,7 +66,7 @@ class Tokens(dict):
             word, stem, hidden, float(bool(own) and own[0] in SECOND), letters, sum(map(str.isupper, token)), float(len(core) > 2 and core.isupper()),
             len(token) - letters, token.count("!") + token.count("?"), float(bool(REPEATED.search(token))), float(0 < sum(map(str.isalpha, core)) < len(core)))
         if len(token) <= 40:
-            if len(self) >= 300_000:
+            if len(self) >= 100_000:
                 self.clear()
             self[token] = found
         return found
@@ -131,7 +131,7 @@ def with_features(docs: DataFrame, words: dict[str, float], name: str) -> DataFr
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = Tokens(shared.value)
         for texts in batches:
-            rows = np.array([dense(t or "", tokens) for t in texts.to_pylist()], np.float64).reshape(-1, 16)
+            rows = np.array([dense(t.as_py() or "", tokens) for t in texts], np.float64).reshape(-1, 16)
             yield pa.ListArray.from_arrays(np.arange(0, rows.size + 1, 16, dtype=np.int32), rows.ravel())
 
     return docs.withColumn(name, measure("text"))
