@@ -111,3 +111,11 @@ def test_sequential_blocks_of_a_hot_ad(spark):
             assert (r.alpha_prior, r.beta_prior, r.impressions, r.clicks) == (a, b, len(part), clicks)
             a, b = a + clicks, b + len(part) - clicks
             assert (r.alpha_post, r.beta_post) == (a, b)
+
+
+def test_edges_of_likelihood_and_prior(spark):
+    rows = spark.createDataFrame([(10, 0), (10, 10)], "n long, z long")
+    got = rows.select(bayes.log_likelihood(F.col("z") / F.col("n"), F.col("n"), F.col("z")).alias("l")).collect()
+    assert [r.l for r in got] == pytest.approx([0.0, 0.0], abs=1e-9)
+    same = spark.createDataFrame([(0.1,), (0.1,)], "sample_ctr double")
+    assert bayes.prior_from_past(same).first().alpha is None

@@ -40,3 +40,9 @@ def test_driver_contract(spark):
     assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql()) <= set(driver.queries())
     assert set(forecasts.registry.queries) <= set(driver.queries())
+
+
+def test_every_line_reaches_the_cleaning_audit(spark, duck):
+    """No order is left out on the way."""
+    from tillwright.sources import tables
+    assert tables.transactions(spark, FOLDER).count() == duck.execute("SELECT count(*) FROM lineitem").fetchone()[0]

@@ -73,3 +73,14 @@ def test_sinks_round_trip(spark, tmp_path):
     assert {(r.model, r.ds, r.predicted) for r in back.collect()} == {("arima", "2011-12-09", "1.5"), ("sarima", "2011-12-11", "2.5")}
     sinks.write_parquet(rows, str(tmp_path / "pq"), partition_by="model")
     assert spark.read.parquet(str(tmp_path / "pq")).filter("model = 'arima'").count() == 1
+
+
+def test_columns_are_taken_by_name(spark, tmp_path):
+    names = [f.name for f in schemas.PRODUCTS.fields]
+    heads = {"product_id": "101", "product_name": "Lamp"}
+    (tmp_path / "p.csv").write_text(",".join(["extra", *reversed(names)]) + "\n" + ",".join(["x", *(heads.get(n, "1") for n in reversed(names))]) + "\n")
+    row = files.text_scan(spark, str(tmp_path / "p.csv"), schemas.PRODUCTS).first()
+    assert row.asDict() == {n: heads.get(n, "1") for n in names}
+    (tmp_path / "q.csv").write_text(",".join(names[1:]) + "\n")
+    with pytest.raises(ValueError, match=names[0]):
+        files.text_scan(spark, str(tmp_path / "q.csv"), schemas.PRODUCTS)

@@ -124,7 +124,7 @@ def prior_sensitivity(df: DataFrame, priors: Sequence[tuple[str, float, float]]
 def prior_from_past(df: DataFrame) -> DataFrame:
     """A prior by moments from the sample rates of past trials: one row."""
     moments = df.agg(F.avg("sample_ctr").alias("mu"), F.stddev_samp("sample_ctr").alias("sigma"))
-    n = F.col("mu") * (1 - F.col("mu")) / (F.col("sigma") * F.col("sigma")) - 1
+    n = F.try_divide(F.col("mu") * (1 - F.col("mu")), F.col("sigma") * F.col("sigma")) - 1  # NULL if all rates are equal
     return moments.withColumn("strength", n).withColumns({
         "alpha": F.col("mu") * F.col("strength"), "beta": (1 - F.col("mu")) * F.col("strength"),
     })
@@ -139,8 +139,11 @@ def width_projection(interval: DataFrame, extra: Sequence[int] = EXTRA_IMPRESSIO
 
 
 def log_likelihood(theta: Column, n: Column, z: Column) -> Column:
-    """ln P(z clicks in n impressions | θ), in log space throughout."""
-    return ln_choose(n, z) + z * F.ln(theta) + (n - z) * F.ln(1 - theta)
+    """ln P(z clicks in n impressions | θ), in log space throughout; 0 · ln 0 counts as 0."""
+    def times_ln(k: Column, x: Column) -> Column:
+        return F.when(k == 0, F.lit(0.0)).otherwise(k * F.ln(x))
+
+    return ln_choose(n, z) + times_ln(z, theta) + times_ln(n - z, 1 - theta)
 
 
 def likelihood(theta: Column, n: Column, z: Column) -> Column:

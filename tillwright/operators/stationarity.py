@@ -81,7 +81,7 @@ def adf(series: DataFrame, value: str = "revenue", max_lag: int = MAX_LAG) -> Da
         solved(F.col("products"), F.col("lag_order") + 2).alias("m"),
     )
     m, n_obs = F.col("m"), F.col("n_obs")
-    error = F.sqrt(m[target][target] / (n_obs - F.col("lag_order") - 2) * m[1][1])
+    error = F.sqrt(F.try_divide(m[target][target], n_obs - F.col("lag_order") - 2) * m[1][1])
     tested = fit.select("series_key", "lag_order", n_obs.cast("bigint").alias("n_obs"),
                         F.try_divide(m[1][target], error).alias("adf_stat"))
     # A constant or very short series has no statistic but keeps its row.

@@ -153,16 +153,14 @@ def _(spark, d):
     return _rounded(bayes.grid_summary(bayes.curves(_posterior(spark, d), high=0.999)), "grid_lower", "grid_upper", "mle")
 
 
-@add("click_log_likelihood", f"""WITH {TRIALS} SELECT ad_id, round(lgamma(impressions + 1) - lgamma(clicks + 1) - lgamma(impressions - clicks + 1)
-  + clicks * ln(clicks / impressions) + (impressions - clicks) * ln(1 - clicks / impressions), 6) AS log_likelihood,
-  round(exp(lgamma(impressions + 1) - lgamma(clicks + 1) - lgamma(impressions - clicks + 1)
-  + clicks * ln(clicks / impressions) + (impressions - clicks) * ln(1 - clicks / impressions)), 8) AS likelihood
-  FROM trials WHERE clicks BETWEEN 1 AND impressions - 1""")
+@add("click_log_likelihood", f"""WITH {TRIALS}, l AS (SELECT ad_id, lgamma(impressions + 1) - lgamma(clicks + 1) - lgamma(impressions - clicks + 1)
+  + CASE WHEN clicks = 0 THEN 0 ELSE clicks * ln(clicks / impressions) END
+  + CASE WHEN clicks = impressions THEN 0 ELSE (impressions - clicks) * ln(1 - clicks / impressions) END AS ll FROM trials)
+  SELECT ad_id, round(ll, 6) AS log_likelihood, round(exp(ll), 8) AS likelihood FROM l""")
 def _(spark, d):
-    some = _trials(spark, d).filter((F.col("clicks") > 0) & (F.col("clicks") < F.col("impressions")))
     args = F.col("sample_ctr"), F.col("impressions"), F.col("clicks")
-    return some.select("ad_id", F.round(bayes.log_likelihood(*args), 6).alias("log_likelihood"),
-                       F.round(bayes.likelihood(*args), 8).alias("likelihood"))
+    return _trials(spark, d).select("ad_id", F.round(bayes.log_likelihood(*args), 6).alias("log_likelihood"),
+                                    F.round(bayes.likelihood(*args), 8).alias("likelihood"))
 
 
 @add("click_sequential", f"""WITH {TRIALS}, o AS (SELECT *, row_number() OVER (PARTITION BY ad_id ORDER BY ts, event_id) - 1 AS k FROM ev),

@@ -12,7 +12,7 @@ from tillwright.functions.recursions import ARIMA_COARSE, ARIMA_STEPS, SMOOTHING
 from tillwright.operators import anomalies, calendar, evaluation, forecasting, stationarity
 from tillwright.plans import charts, outlook, planning
 from tillwright.registry.common import Registry
-from tillwright.registry.series import LOOKBACK, NAME, PATTERN, SERIES, UPCOMING, trading
+from tillwright.registry.series import NAME, PATTERN, SERIES, UPCOMING, trading
 from tillwright.session import durable
 
 registry = Registry()
@@ -220,7 +220,7 @@ def _held(spark, d):
 
 
 def _coming(spark, d):
-    return outlook.coming_days(_held(spark, d), outlook.smoothing_only, closure_lookback=LOOKBACK)
+    return outlook.coming_days(_held(spark, d), outlook.smoothing_only)
 
 
 @add("smoothing_parameters", f"""WITH RECURSIVE {TRAIN} SELECT series_key, round(a, 4) AS alpha, round(b, 4) AS beta,
@@ -382,14 +382,14 @@ def _(spark, d):
 @add("forecast_30_days", f"""WITH RECURSIVE {ALL_AHEAD} SELECT series_key, model, step, strftime(ds, '%Y-%m-%d') AS ds, weekday_name,
   predicted, lower95, upper95, width, expected_closure FROM all_fc""")
 def _(spark, d):
-    return outlook.coming_days(outlook.hold_out(trading(spark, d)), closure_lookback=LOOKBACK)
+    return outlook.coming_days(outlook.hold_out(trading(spark, d)))
 
 
 @add("best_forecast_stock_plan", f"""WITH RECURSIVE {ALL_AHEAD}, chosen AS (SELECT all_fc.* FROM all_fc JOIN best USING (series_key, model)),
   {_plan_sql('chosen')} {_STOCK}""")
 def _(spark, d):
     held = outlook.hold_out(trading(spark, d))
-    ahead = outlook.coming_days(held, closure_lookback=LOOKBACK)
+    ahead = outlook.coming_days(held)
     return planning.stock_plan(outlook.best_forecast(ahead, held.best))
 
 
@@ -417,5 +417,5 @@ def _(spark, d):
   UNION ALL SELECT series_key, 'holt_winters', strftime(ds, '%Y-%m-%d'), predicted, lower95, upper95, expected_closure FROM fc""")
 def _(spark, d):
     held = _held(spark, d)
-    ahead = outlook.coming_days(held, outlook.smoothing_only, closure_lookback=LOOKBACK)
+    ahead = outlook.coming_days(held, outlook.smoothing_only)
     return charts.forecast_lines(held.series, ahead)

@@ -13,19 +13,15 @@ from tillwright.sources import tables
 registry = Registry()
 add = registry.add
 
-# The benchmark's past is seven years long; only its last year tells of expected closures.
-LOOKBACK = 366
-
 TX = """tx AS (
   SELECT c_mktsegment AS series_key, CASE WHEN l_returnflag = 'R' THEN 'C' ELSE '' END || l_orderkey AS invoice_no,
     CAST(l_partkey % 50 AS VARCHAR) AS stock_code,
     CASE WHEN l_suppkey % 97 = 13 THEN NULL WHEN l_returnflag = 'R' OR l_suppkey % 89 = 7
       THEN -CAST(ceil(l_quantity / 10) AS INTEGER) ELSE CAST(ceil(l_quantity / 10) AS INTEGER) END AS quantity,
-    o_orderdate AS invoice_ts,
+    CASE WHEN isodow(o_orderdate) = 6 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS invoice_ts,
     CAST(CASE WHEN l_partkey % 41 = 0 THEN 0 ELSE 10 + l_partkey % 50 END AS DECIMAL(12,4)) AS unit_price,
     CASE WHEN o_custkey % 25 <> 0 THEN o_custkey END AS customer_id
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  WHERE isodow(o_orderdate) <> 6),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
 roles AS (
   SELECT *, abs(quantity) AS units, CASE WHEN quantity IS NULL THEN 'missing_core' WHEN invoice_no LIKE 'C%' THEN 'cancel'
     WHEN quantity > 0 AND unit_price > 0 THEN 'sale' ELSE 'not_positive' END AS role FROM tx),
@@ -128,7 +124,7 @@ def _(spark, d):
 
 UPCOMING = f"""{SERIES}, last AS (SELECT series_key, max(ds) AS last_day FROM ts GROUP BY 1),
 closed AS (SELECT DISTINCT t.series_key, strftime(t.ds, '%m-%d') AS md FROM ts t JOIN last l USING (series_key)
-  WHERE t.revenue = 0 AND t.ds > l.last_day - {LOOKBACK}),
+  WHERE t.revenue = 0),
 ahead AS (SELECT series_key, last_day, CAST(unnest(generate_series(last_day + 1, last_day + 60, INTERVAL 1 DAY)) AS DATE) AS ds FROM last),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ds) AS step FROM ahead a
   WHERE EXISTS (SELECT 1 FROM ts t WHERE t.series_key = a.series_key AND isodow(t.ds) = isodow(a.ds))),
@@ -141,7 +137,7 @@ upcoming AS (SELECT n.series_key, n.step, n.ds, {NAME.replace('ds', 'n.ds')} AS
 @add("upcoming_trading_days", f"""WITH {UPCOMING} SELECT series_key, step, {ISO} AS ds, weekday_name, days_ahead,
   coalesce(closure_source, 'open') AS closure_source, closure_source IS NOT NULL AS expected_closure FROM upcoming""")
 def _(spark, d):
-    ahead = calendar.upcoming(trading(spark, d), closure_lookback=LOOKBACK)
+    ahead = calendar.upcoming(trading(spark, d))
     return ahead.withColumn("closure_source", F.coalesce("closure_source", F.lit("open")))
 
 

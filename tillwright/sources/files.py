@@ -14,17 +14,21 @@ REJECTS = "_rejected"
 def text_scan(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8") -> DataFrame:
     """A headed CSV with every field as text, so that nothing is lost to typing.
 
-    The column list comes from ``schema``: no inference pass over the data.
+    Columns are taken by the names of their heads, in the order of ``schema``; other columns are left out
+    and a missing one is an error. Only the head is read for that: text needs no inference pass.
     """
-    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    return (
-        spark.read.schema(raw)
+    raw = (
+        spark.read
         .option("header", True)
         .option("encoding", encoding)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)
     )
+    heads = {name.lstrip("\ufeff").strip(): name for name in raw.columns}
+    if absent := [f.name for f in schema.fields if f.name not in heads]:
+        raise ValueError(f"{path} lacks the columns {', '.join(absent)}")
+    return raw.select(*(F.col(f"`{heads[f.name]}`").alias(f.name) for f in schema.fields))
 
 
 def _typed(field: T.StructField, formats: Mapping[str, str]) -> Column:
