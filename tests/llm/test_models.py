@@ -127,6 +127,12 @@ def test_quality_on_held_out_labels(spark, folder):
     assert sum(r.selected == (r.quality == 1) for r in joined) / len(joined) > 0.85
 
 
+def test_short_way_for_plain_tokens():
+    tokens = toxicity.Tokens({"fool": 3.0, "abcde*": 2.0, "aaa": 1.0})
+    for t in ["fool", "abcdef", "abcde", "aaa", "you", "é", "ñandú", "x" * 60, "ß", "a", "plainword"]:
+        assert tokens.plain(t) == tokens.measured(t)
+
+
 def test_toxicity_features():
     tokens = toxicity.Tokens({"fool": 3.0, "abcde*": 2.0})
     plain, hidden = toxicity.dense("you fool!", tokens), toxicity.dense("f.0.0.l abcdefg", tokens)

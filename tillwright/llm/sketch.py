@@ -86,11 +86,13 @@ def edited_pairs(docs: DataFrame, words: int = 5, fraction: float = 1 / 8) -> Da
     Rows that repeat a doc_id are edited each; the next document of an id is then the
     row that is first by text. A row without id has no next document (an empty one).
     """
-    own = with_sketch(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sketch", words, fraction)
+    every = with_sketch(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sketch", words, fraction)
+    own = every.where("doc_id IS NOT NULL")  # the same rows on both sides, so that texts are shuffled once for both
     wanted = successors(docs).select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), F.floor(F.col("n") / 3).cast("int").alias("need"))
     sent = own.join(wanted, "doc_id").groupBy("for_id").agg(
         F.min(F.struct(F.substring("text", F.lit(1), F.col("need")).alias("start"), F.col("sketch"))).alias("sent"))
-    both = own.join(sent, own.doc_id == sent.for_id, "left")
+    both = own.join(sent, own.doc_id == sent.for_id, "left").select("doc_id", "text", "sketch", "sent")
+    both = both.unionByName(every.where("doc_id IS NULL"), allowMissingColumns=True)
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
     start = F.coalesce(F.substring("sent.start", F.lit(1), third), F.lit(""))

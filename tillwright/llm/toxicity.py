@@ -53,8 +53,28 @@ class Tokens(dict):
     def __init__(self, lexicon: dict[str, float]):
         super().__init__()
         self.lexicon = lexicon
+        self.common = [(0.0, 0.0, 0.0, 0.0, n, 0, 0.0, 0, 0, 0.0, 0.0) for n in range(41)]
 
     def __missing__(self, token: str) -> tuple[float, ...]:
+        found = self.plain(token) if token.isalpha() and token.islower() else self.measured(token)
+        if len(token) <= 40:
+            if len(self) >= 150_000:
+                self.clear()
+            self[token] = found
+        return found
+
+    def plain(self, token: str) -> tuple[float, ...]:
+        """What ``measured`` gives for small letters only, in fewer steps; most such tokens share one row per length."""
+        get, n, repeated = self.lexicon.get, len(token), REPEATED.search(token)
+        if n < 2:
+            return self.common[n]
+        word, second = get(token, 0.0), token in SECOND
+        stem = max((get(f"{token[:k]}*", 0.0) for k in STEMS if n > k), default=0.0)
+        if not (word or stem or second or repeated) and n < len(self.common):
+            return self.common[n]
+        return word, stem, 0.0, float(second), n, 0, 0.0, 0, 0, float(bool(repeated)), 0.0
+
+    def measured(self, token: str) -> tuple[float, ...]:
         own = terms(token)
         word = max((self.lexicon.get(t, 0.0) for t in own[:1]), default=0.0)
         stem = max((self.lexicon.get(t, 0.0) for t in own[1:]), default=0.0)
@@ -62,14 +82,9 @@ class Tokens(dict):
         hidden = 0.0 if word or stem else self.lexicon.get(plain, 0.0)
         core = BARE.sub("", token)
         letters = sum(map(str.isalpha, token))
-        found = (
+        return (
             word, stem, hidden, float(bool(own) and own[0] in SECOND), letters, sum(map(str.isupper, token)), float(len(core) > 2 and core.isupper()),
             len(token) - letters, token.count("!") + token.count("?"), float(bool(REPEATED.search(token))), float(0 < sum(map(str.isalpha, core)) < len(core)))
-        if len(token) <= 40:
-            if len(self) >= 100_000:
-                self.clear()
-            self[token] = found
-        return found
 
 
 def dense(text: str, tokens: Tokens) -> list[float]:
