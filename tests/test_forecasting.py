@@ -150,10 +150,25 @@ def test_seasonal_models_win_on_seasonal_data(spark):
     assert outlook.best_forecast(ahead, held.best).count() == 60
 
 
-def test_too_short_series_get_no_forecast(spark):
+def test_too_short_series_keep_their_rows(spark):
     frame = trading(spark, seasonal(60), "long").unionByName(trading(spark, [1.0, 2.0, 3.0], "short"))
     rows = forecasting.forecast_all(forecasting.whole(frame, 5)).collect()
-    assert {r.series_key for r in rows} == {"long"} and len(rows) == 15
+    assert len(rows) == 2 * 3 * 5
+    assert {r.series_key for r in rows if r.predicted is None} == {"short"}
+    assert all(r.predicted is None for r in rows if r.series_key == "short")
+    status = {(r.series_key, r.model): (r.days, r.status) for r in forecasting.statuses(frame).collect()}
+    for model in ("holt_winters", "arima", "sarima"):
+        assert status["long", model] == (60, "fitted") and status["short", model] == (3, "too_short")
+
+
+@pytest.mark.parametrize("days", [1, 2, 6, 7, 14, 20])
+def test_short_series_pass_through_hold_out_and_forecast(spark, days):
+    frame = trading(spark, seasonal(120), "long").unionByName(trading(spark, seasonal(days), "short"))
+    held = outlook.hold_out(frame)
+    ahead = outlook.coming_days(held, horizon=5).collect()
+    assert len([r for r in ahead if r.series_key == "short"]) == 15
+    assert all(r.lower95 is None for r in ahead if r.predicted is None)
+    assert {r.series_key for r in held.best.collect()} == ({"long", "short"} if days > 1 else {"long"})
 
 
 def test_split_and_rolling_origin(spark):

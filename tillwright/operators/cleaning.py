@@ -94,7 +94,8 @@ def net_lines(transactions: DataFrame, slot: str = "HOUR") -> DataFrame:
     """The lines that survive the cleaning, equal lines folded into a count.
 
     The row-level form of ``day_ledger``. Within a key, lines are spent in
-    order of time and invoice number, counted inside time slots.
+    order of time and invoice number, counted inside time slots. Anonymous lines
+    never match, so each invoice of theirs is a key of its own.
     """
     lines = (
         tagged(transactions)
@@ -102,8 +103,9 @@ def net_lines(transactions: DataFrame, slot: str = "HOUR") -> DataFrame:
         .groupBy(*KEY, "invoice_ts", "invoice_no")
         .agg(F.count_if(F.col("role") == "sale").alias("sale"), F.count_if(F.col("role") == "cancel").alias("cancel"))
         .withColumn("slot", F.date_trunc(slot, F.col("invoice_ts")))
+        .withColumn("alone", F.when(F.col("customer_id").isNull(), F.col("invoice_no")))
     )
-    counted = running_totals(lines, KEY, "slot", ["invoice_ts", "invoice_no"], ["sale", "cancel"])
+    counted = running_totals(lines, [*KEY, "alone"], "slot", ["invoice_ts", "invoice_no"], ["sale", "cancel"])
     spent = F.when(F.col("customer_id").isNull(), 0).otherwise(
         F.least(F.col("sale"), F.greatest(F.col("cancel_total") - F.col("sale_before"), F.lit(0)))
     )

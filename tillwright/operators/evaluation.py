@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 Z95 = 1.96  # fixed value: half-width of the 95 % band in error deviations
 
@@ -13,6 +13,11 @@ def compare(series: DataFrame, forecasts: DataFrame) -> DataFrame:
     return forecasts.join(actual, ["series_key", "step"])
 
 
+def _at_least_zero(bound: Column) -> Column:
+    """The bound, no lower than 0; unknown stays NULL."""
+    return F.when(bound.isNotNull(), F.greatest(bound, F.lit(0.0)))
+
+
 def with_sigma(compared: DataFrame) -> DataFrame:
     """Adds the error, its deviation about the mean error, and the 95 % band."""
     group = Window.partitionBy("series_key", "model")
@@ -20,8 +25,8 @@ def with_sigma(compared: DataFrame) -> DataFrame:
         compared.withColumn("error", F.col("actual") - F.col("predicted"))
         .withColumn("sigma", F.stddev_samp("error").over(group))
         .withColumns({
-            "lower": F.greatest(F.col("predicted") - Z95 * F.col("sigma"), F.lit(0.0)),
             "upper": F.col("predicted") + Z95 * F.col("sigma"),
+            "lower": _at_least_zero(F.col("predicted") - Z95 * F.col("sigma")),
         })
     )
 
@@ -39,8 +44,8 @@ def metrics(compared: DataFrame) -> DataFrame:
 
 
 def best_models(measured: DataFrame) -> DataFrame:
-    """The model with the smallest RMSE per series, ties by name."""
-    first = F.min_by(F.struct("model", "rmse"), F.struct("rmse", "model"))
+    """The model with the smallest RMSE per series, ties by name; models without one come last."""
+    first = F.min_by(F.struct("model", "rmse"), F.struct(F.col("rmse").isNull().alias("none"), "rmse", "model"))
     return measured.groupBy("series_key").agg(first.alias("b")).select("series_key", "b.*")
 
 
@@ -56,12 +61,12 @@ def error_by_segment(compared: DataFrame, segments: int = 5) -> DataFrame:
 
 
 def banded(forecasts: DataFrame, measured: DataFrame) -> DataFrame:
-    """Forecasts with the 95 % band that the hold-out error calibrated."""
+    """Forecasts with the 95 % band that the hold-out error calibrated; no band where there was no hold-out."""
     margin = Z95 * F.col("sigma")
-    rounded = forecasts.join(measured.select("series_key", "model", "sigma"), ["series_key", "model"]).select(
-        *forecasts.columns[:-1],
+    rounded = forecasts.join(measured.select("series_key", "model", "sigma"), ["series_key", "model"], "left").select(
+        *[c for c in forecasts.columns if c != "predicted"],
         F.round("predicted", 2).alias("predicted"),
-        F.round(F.greatest(F.col("predicted") - margin, F.lit(0.0)), 2).alias("lower95"),
+        F.round(_at_least_zero(F.col("predicted") - margin), 2).alias("lower95"),
         F.round(F.col("predicted") + margin, 2).alias("upper95"),
     )
     return rounded.withColumn("width", F.round(F.col("upper95") - F.col("lower95"), 2))

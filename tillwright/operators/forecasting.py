@@ -6,6 +6,9 @@ actual days or coming dates.
 
 A series holds one value per trading day, so collecting one into an array is
 bounded by the calendar, not by the number of transactions.
+
+A series too short for a model keeps its rows, with NULL forecasts; ``statuses``
+says why.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from tillwright.operators.calendar import per_series
 
 TRAIN_SHARE = 0.8
 HORIZON = 30
-CAP = 3.0  # forecasts stay within this multiple of the highest value seen
+# Observations a model needs.
+SMOOTHING_LEAST, ARIMA_LEAST = 2 * PERIOD, 4 * PERIOD
 
 
 def split(series: DataFrame, share: float = TRAIN_SHARE) -> DataFrame:
@@ -59,7 +63,7 @@ def histories(series: DataFrame) -> DataFrame:
 
 def fit_smoothing(past: DataFrame) -> DataFrame:
     """Weights and final states per row of ``histories``."""
-    return past.withColumn("fit", smoothing_fit(F.col("history"))).filter(F.col("fit.alpha").isNotNull())
+    return past.withColumn("fit", smoothing_fit(F.col("history")))
 
 
 def smoothing_path(horizon: Column) -> Column:
@@ -107,15 +111,13 @@ def _newest(values: Column, n: int) -> Column:
 def fit_arima(past: DataFrame, order: Order) -> DataFrame:
     """Coefficients per row of ``histories`` and the recent values a forecast needs."""
     kept = PERIOD + 1
-    long_enough = past.filter(F.size("history") >= 4 * PERIOD)
-    changed = long_enough.withColumn("w", difference(F.col("history"), 1))
+    changed = past.withColumn("w", difference(F.col("history"), 1))
     if order.seasonal:
         changed = changed.withColumn("w", difference(F.col("w"), PERIOD))
-    fitted = changed.withColumn("fit", arima_fit(F.col("w"), order.seasonal))
-    return fitted.filter(F.col("fit.ar").isNotNull()).withColumns({
+    changed = changed.withColumn("w", F.when(F.size("history") >= ARIMA_LEAST, F.col("w")))
+    return changed.withColumn("fit", arima_fit(F.col("w"), order.seasonal)).withColumns({
         "recent_w": _newest(F.col("w"), kept),
         "recent_y": _newest(F.col("history"), kept),
-        "peak": F.array_max("history"),
     })
 
 
@@ -130,10 +132,10 @@ def arima_path(order: Order) -> Column:
     def following(acc: Column, _: Column) -> Column:
         w, e, y = acc["w"], acc["e"], acc["y"]
         change = (
-            fit["ar"] * w[0] + fit["seasonal_ar"] * (w[last - 1] - fit["ar"] * w[last])
-            + fit["ma"] * e[0] + fit["seasonal_ma"] * (e[last - 1] + fit["ma"] * e[last])
+            fit["ar"] * F.get(w, 0) + fit["seasonal_ar"] * (F.get(w, last - 1) - fit["ar"] * F.get(w, last))
+            + fit["ma"] * F.get(e, 0) + fit["seasonal_ma"] * (F.get(e, last - 1) + fit["ma"] * F.get(e, last))
         )
-        value = reduce(Column.__add__, [y[lag - 1] * f for lag, f in order.carry.items()], change)
+        value = reduce(Column.__add__, [F.get(y, lag - 1) * f for lag, f in order.carry.items()], change)
 
         def pushed(new: Column, old: Column) -> Column:
             return F.concat(F.array(new), F.slice(old, 1, last))
@@ -147,13 +149,9 @@ def arima_path(order: Order) -> Column:
 
 
 def arima_rows(past: DataFrame, order: Order) -> DataFrame:
-    """Forecast rows; an explosive fit is held at ``CAP`` times the highest value."""
-    limit = F.col("peak") * CAP
-    held = F.transform(
-        arima_path(order),
-        lambda v: F.when(F.isnan(v), limit).otherwise(F.greatest(-limit, F.least(v, limit))),
-    )
-    return _as_rows(fit_arima(past, order).withColumn("path", held), order.name)
+    """Forecast rows; a value that is not a number is NULL. The coefficients' limit keeps the models stationary."""
+    path = F.transform(arima_path(order), lambda v: F.when(~F.isnan(v), v))
+    return _as_rows(fit_arima(past, order).withColumn("path", path), order.name)
 
 
 # -- all models ---------------------------------------------------------------
@@ -194,6 +192,24 @@ def parameters(series: DataFrame) -> DataFrame:
     )
 
 
+def statuses(series: DataFrame) -> DataFrame:
+    """Per series and model the number of days and ``fitted``, ``too_short`` or ``failed``."""
+    past = histories(series.withColumn("horizon", F.lit(1)))
+
+    def judged(fitted: DataFrame, model: str, least: int) -> DataFrame:
+        days, sse = F.size("history"), F.col("fit.sse")
+        status = (
+            F.when(days < least, "too_short").when(sse.isNull() | F.isnan(sse), "failed").otherwise("fitted")
+        )
+        return fitted.select("series_key", F.lit(model).alias("model"), days.alias("days"), status.alias("status"))
+
+    return (
+        judged(fit_smoothing(past), "holt_winters", SMOOTHING_LEAST)
+        .unionByName(judged(fit_arima(past, ARIMA), ARIMA.name, ARIMA_LEAST))
+        .unionByName(judged(fit_arima(past, SARIMA), SARIMA.name, ARIMA_LEAST))
+    )
+
+
 def rolling_origin(series: DataFrame, origins: int = 10, ahead: int = PERIOD) -> DataFrame:
     """Smoothing refitted at each of the last ``origins`` days, judged a few days ahead.
 

@@ -14,6 +14,7 @@ from tillwright.plans import charts, outlook, planning
 from tillwright.registry.common import Registry
 from tillwright.registry.series import NAME, PATTERN, SERIES, UPCOMING, trading
 from tillwright.session import durable
+from tillwright.sources import tables
 
 registry = Registry()
 add = registry.add
@@ -168,12 +169,12 @@ def _arima_sql(name: str, source: str, seasonal: bool, horizons: str) -> str:
         parts += [f"{name}_t{i} AS (SELECT series_key, {clip} FROM {name}_s{i - 1}_best, {lists})", run(f"{name}_s{i}", f"{name}_t{i}")]
     undo = "y[1] + y[6] - y[7]" if seasonal else "y[1]"
     parts.append(f"""{name} AS (SELECT series_key, b.f AS f, b.t AS t, b.p AS p, b.q AS q, b.e AS e, b.v AS v FROM {name}_s{len(ARIMA_STEPS)}_best),
-{name}_y AS (SELECT series_key, list(revenue ORDER BY step DESC)[1:7] AS y, max(revenue) AS peak FROM {source} GROUP BY 1),
+{name}_y AS (SELECT series_key, list(revenue ORDER BY step DESC)[1:7] AS y FROM {source} GROUP BY 1),
 {name}_path AS (
-  SELECT series_key, 0 AS h, NULL::DOUBLE AS predicted, f, t, p, q, v, e, y, peak, horizon FROM {name} JOIN {name}_y USING (series_key) JOIN {horizons} USING (series_key)
+  SELECT series_key, 0 AS h, NULL::DOUBLE AS predicted, f, t, p, q, v, e, y, horizon FROM {name} JOIN {name}_y USING (series_key) JOIN {horizons} USING (series_key)
   UNION ALL
-  SELECT series_key, h + 1, greatest(-3 * peak, least(3 * peak, w + {undo})), f, t, p, q, list_prepend(w, v[:6]), list_prepend(0.0, e[:6]),
-    list_prepend(w + {undo}, y[:6]), peak, horizon
+  SELECT series_key, h + 1, w + {undo}, f, t, p, q, list_prepend(w, v[:6]), list_prepend(0.0, e[:6]),
+    list_prepend(w + {undo}, y[:6]), horizon
   FROM (SELECT *, f * v[1] + p * (v[6] - f * v[7]) + t * e[1] + q * (e[6] + t * e[7]) AS w FROM {name}_path WHERE h < horizon))""")
     return ",\n".join(parts)
 
@@ -399,6 +400,13 @@ def _(spark, d):
     return _rounded(charts.hold_out_lines(outlook.hold_out(trading(spark, d)).compared), "predicted")
 
 
+@add("forecast_status", """WITH lengths AS (SELECT o_custkey AS series_key, count(DISTINCT CAST(o_orderdate AS DATE)) AS days FROM orders GROUP BY 1)
+  SELECT CAST(series_key AS VARCHAR) AS series_key, model, days, CASE WHEN days < least_days THEN 'too_short' ELSE 'fitted' END AS status
+  FROM lengths, (VALUES ('holt_winters', 12), ('arima', 24), ('sarima', 24)) m(model, least_days)""")
+def _(spark, d):
+    return forecasting.statuses(tables.customer_days(spark, d))
+
+
 @add("rolling_origin_errors", f"""WITH RECURSIVE {SERIES}, ns AS (SELECT series_key AS k, count(*) AS n FROM ts GROUP BY 1),
   origins AS (SELECT k, unnest(range(greatest(12, n - 15), n - 5)) AS cut FROM ns),
   past AS (SELECT k || '@' || cut AS series_key, step, revenue FROM origins JOIN ts ON ts.series_key = k AND step <= cut),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 SATURDAY = 5  # Monday is 0
 
@@ -84,6 +84,15 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def customer_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Order value per customer and day with an order, numbered in order of time: many short series."""
+    orders = parquet(spark, folder, "orders")
+    days = orders.groupBy(F.col("o_custkey").cast("string").alias("series_key"), F.to_date("o_orderdate").alias("ds")).agg(
+        F.sum(F.col("o_totalprice").cast("double")).alias("revenue"))
+    ordered = Window.partitionBy("series_key").orderBy("ds")
+    return days.withColumn("step", F.row_number().over(ordered).cast("bigint"))
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Views and clicks of ten ads."""
     return parquet(spark, folder, "events").filter(F.col("event_type").isin("view", "click")).select(
