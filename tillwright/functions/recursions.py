@@ -153,7 +153,7 @@ def smoothing_fit(history: Column) -> Column:
     """
     schema = "alpha double, beta double, gamma double, sse double, level double, trend double, season array<double>"
     names = ["alpha", "beta", "gamma", "sse", "level", "trend", "season"]
-    return F.pandas_udf(_batched(_smoothing_rows, names, 2 * PERIOD), schema)(history)
+    return F.pandas_udf(_batched(_smoothing_rows, names, 2 * PERIOD), schema).asNondeterministic()(history)  # else filters on the result fit again
 
 
 def arima_fit(differenced: Column, seasonal: bool) -> Column:
@@ -163,4 +163,4 @@ def arima_fit(differenced: Column, seasonal: bool) -> Column:
     """
     schema = "ar double, ma double, seasonal_ar double, seasonal_ma double, sse double, shocks array<double>"
     names = ["ar", "ma", "seasonal_ar", "seasonal_ma", "sse", "shocks"]
-    return F.pandas_udf(_batched(_arima_rows(seasonal), names, 2 * PERIOD), schema)(differenced)
+    return F.pandas_udf(_batched(_arima_rows(seasonal), names, 2 * PERIOD), schema).asNondeterministic()(differenced)  # else filters on the result fit again
