@@ -36,7 +36,7 @@ def shape(word: str) -> str:
 
 
 class Buckets(dict):
-    """Word to its two buckets; remembers short words within a bound."""
+    """Word to its two buckets; remembers short words within a bound, for one task."""
 
     def __missing__(self, word: str) -> tuple[int, int]:
         found = xxhash.xxh32_intdigest(word) % HALF, HALF + xxhash.xxh32_intdigest(shape(word)) % HALF
@@ -47,16 +47,14 @@ class Buckets(dict):
         return found
 
 
-BUCKETS = Buckets()
-
-
-def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket numbers and values of the whole text."""
+def features(text: str, known: Buckets | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket numbers and values of the whole text; ``known`` remembers words between texts."""
+    known = Buckets() if known is None else known
     counts = Counter(text.split())
     if not counts:
         return np.zeros(0, np.int64), np.zeros(0)
     times = np.fromiter(counts.values(), np.float64, len(counts))
-    buckets = np.array([BUCKETS[w] for w in counts], np.int64)
+    buckets = np.array([known[w] for w in counts], np.int64)
     shapes, which = np.unique(buckets[:, 1], return_inverse=True)
     shaped = np.bincount(which, times)
     return np.concatenate([buckets[:, 0], shapes]), np.concatenate([times / np.linalg.norm(times), shaped / np.linalg.norm(shaped)])
@@ -113,8 +111,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: list[float], rounds:
 def train(docs: DataFrame, labels: DataFrame, grade: str = "quality", bound: int = 8000, keep=None) -> Ordinal:
     """The model of at most ``bound`` labelled documents; ``keep`` is a condition on the labels' doc_id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Buckets()
         for batch in batches:
-            rows = [features(t) for t in batch.column("text").to_pylist()]
+            rows = [features(t, known) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("grade").cast(pa.float64()), pa.array([r[0].astype(np.int32).tobytes() for r in rows], pa.binary()),
                  pa.array([r[1].astype(np.float32).tobytes() for r in rows], pa.binary())], ["doc_id", "grade", "index", "value"])
@@ -133,10 +132,10 @@ def score(docs: DataFrame, model: Ordinal, wanted: float = 1.0, name: str = "rat
 
     @F.arrow_udf("struct<expected: double, tail: double>")
     def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        m = shared.value
+        m, known = shared.value, Buckets()
         at = np.searchsorted(m.grades, wanted) - 1
         for texts in batches:
-            above = [m.above(features(t.as_py() or "")) for t in texts]
+            above = [m.above(features(t.as_py() or "", known)) for t in texts]
             tails = [1.0 if at < 0 else 0.0 if at >= len(a) else float(a[at]) for a in above]
             yield pa.StructArray.from_arrays([pa.array([m.expected(a) for a in above], pa.float64()), pa.array(tails, pa.float64())], ["expected", "tail"])
 
