@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tillwright.functions.beta import beta_cdf, beta_quantile
+from tillwright.functions.beta import beta_cdf, beta_quantile, beta_sf
 from tillwright.functions.scalars import ln_choose, ln_gamma, normal_cdf
 from tillwright.operators import bayes
 
@@ -119,3 +119,34 @@ def test_edges_of_likelihood_and_prior(spark):
     assert [r.l for r in got] == pytest.approx([0.0, 0.0], abs=1e-9)
     same = spark.createDataFrame([(0.1,), (0.1,)], "sample_ctr double")
     assert bayes.prior_from_past(same).first().alpha is None
+
+
+@pytest.mark.parametrize("n", [100, 10**4, 10**6, 10**8, 10**10])
+def test_any_number_of_impressions(spark, n):
+    """Cumulative shares, bounds and likelihood against the normal limit with its skewness term, and at 0 and all clicks."""
+    rows = spark.createDataFrame([(f"{z}", n, z) for z in (0, n // 20, n)], "ad_id string, impressions long, clicks long").withColumn(
+        "sample_ctr", F.col("clicks") / F.col("impressions"))
+    post = bayes.with_interval(bayes.posterior(rows))
+    a, b = F.col("alpha_post"), F.col("beta_post")
+    got = {r.ad_id: r for r in post.select(
+        "*", beta_cdf(a, b, F.col("post_lower")).alias("low"), beta_sf(a, b, F.col("post_upper")).alias("high"), beta_cdf(a, b, F.col("post_mean")).alias("mid"),
+        bayes.log_likelihood(F.col("sample_ctr"), F.col("impressions"), F.col("clicks")).alias("ll")).collect()}
+    for r in got.values():
+        assert 0 < r.post_lower < r.post_mean < r.post_upper < 1
+        assert (r.low, r.high) == (pytest.approx(0.025, abs=1e-6), pytest.approx(0.025, abs=1e-6))
+    r = got[f"{n // 20}"]
+    a, b = r.alpha_post, r.beta_post
+    skew = 2 * (b - a) * math.sqrt(a + b + 1) / ((a + b + 2) * math.sqrt(a * b))
+    assert r.mid == pytest.approx(0.5 + skew / 6 / math.sqrt(2 * math.pi), abs=2 * skew**3 + 1e-10)
+    assert r.ll == pytest.approx(-0.5 * math.log(2 * math.pi * n * 0.05 * 0.95), abs=4 / n + 1e-9 if n > 100 else 0.05)
+    assert got["0"].ll == got[f"{n}"].ll == 0
+    near = bayes.grid_summary(bayes.curves(bayes.posterior(rows), spread=6.0)).collect()
+    assert len(near) == 3
+    for g in near:
+        step = 12 * got[g.ad_id].post_sd / 499
+        assert g.grid_lower == pytest.approx(got[g.ad_id].post_lower, abs=step) and g.grid_upper == pytest.approx(got[g.ad_id].post_upper, abs=step)
+
+
+def test_small_upper_tails_keep_their_digits(spark):
+    got = spark.range(1).select(beta_sf(F.lit(1.0), F.lit(50.0), F.lit(0.6)).alias("p")).first().p
+    assert got == pytest.approx(0.4**50, rel=1e-10)

@@ -23,7 +23,7 @@ def reference_adf(y):
     """The test spelled out with dense least squares."""
     y = np.asarray(y, dtype=float)
     dy, n = np.diff(y), len(y)
-    cap = max(0, min(int(math.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2, stationarity.MAX_LAG))
+    cap = max(0, min(int(math.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2))
 
     def fit(p, start):
         t = np.arange(start, len(dy))
@@ -48,9 +48,10 @@ def test_unit_root_against_dense_least_squares(spark):
     steady = [0.0]
     for e in rng.normal(size=320):
         steady.append(0.5 * steady[-1] + e)
+    long = np.cumsum(rng.normal(size=5000))  # its length asks for 32 lags
     frame = trading(spark, walk, "walk").unionByName(trading(spark, steady, "steady")).unionByName(trading(spark, seasonal(90), "wave"))
-    rows = {r.series_key: r for r in stationarity.adf(frame).collect()}
-    for key, y in (("walk", walk), ("steady", steady), ("wave", seasonal(90))):
+    rows = {r.series_key: r for r in stationarity.adf(frame.unionByName(trading(spark, long, "long"))).collect()}
+    for key, y in (("walk", walk), ("steady", steady), ("wave", seasonal(90)), ("long", long)):
         p, m, stat = reference_adf(y)
         assert (rows[key].lag_order, rows[key].n_obs) == (p, m)
         assert rows[key].adf_stat == pytest.approx(stat, rel=1e-8)
@@ -70,6 +71,15 @@ def test_constant_series_gives_no_verdict(spark):
     assert [(r.adf_stat, r.verdict) for r in rows if r.input == "original"] == [(None, "undetermined")]
 
 
+def test_very_short_series_keep_their_row(spark):
+    frame = trading(spark, [4.0], "1")
+    for n in range(2, 7):
+        frame = frame.unionByName(trading(spark, [4.0, 9.0, 5.0, 7.0, 2.0, 8.0][:n], str(n)))
+    rows = {(r.series_key, r.input): r for r in stationarity.verdicts(frame).collect()}
+    assert {k for k, i in rows if i == "original"} == set("123456")
+    assert [rows[k, "original"].adf_stat is None for k in "123456"] == [True] * 3 + [False] * 3
+
+
 # -- models -------------------------------------------------------------------
 
 def smooth_by_hand(y, a, b, g):

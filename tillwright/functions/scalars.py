@@ -48,9 +48,39 @@ def ln_gamma(x: Column) -> Column:
     return (z - 0.5) * F.ln(z) - z + 0.5 * F.ln(2 * F.pi()) + tail - F.ln(shift)
 
 
+def _stirling_rest(x: Column) -> Column:
+    """ln Γ(x + 1) less Stirling's formula for it, for x > 0."""
+    z = F.greatest(x, F.lit(16.0))
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * z * z)) / (z * z)) / (z * z)) / z
+    return F.when(x >= 16, series).otherwise(ln_gamma(x + 1) - (x + 0.5) * F.ln(x) + x - 0.5 * F.ln(2 * F.pi()))
+
+
+def _deviance(x: Column, expected: Column) -> Column:
+    """x · ln(x / expected) + expected - x, without cancellation where x is near ``expected``."""
+    e = F.try_divide(x - expected, expected)
+    near = F.lit(1 / 56)
+    for k in range(7, 1, -1):
+        near = F.lit(1.0 / (k * (k - 1))) - e * near
+    return F.when(F.abs(e) < 0.01, expected * e * e * near).otherwise(x * F.ln(F.try_divide(x, expected)) + expected - x)
+
+
+def ln_binomial(theta: Column, n: Column, k: Column) -> Column:
+    """ln of C(n, k) · θ^k · (1 - θ)^(n - k), also for n and k that are no whole numbers; 0 · ln 0 counts as 0."""
+    n, k = n.cast("double"), k.cast("double")
+    inner = (
+        _stirling_rest(n) - _stirling_rest(k) - _stirling_rest(n - k) - _deviance(k, n * theta) - _deviance(n - k, n * (1 - theta))
+        + 0.5 * (F.ln(F.try_divide(n, k * (n - k))) - F.ln(2 * F.pi()))
+    )
+    none, every = F.when(n == 0, 0.0).otherwise(n * F.log1p(-theta)), F.when(n == 0, 0.0).otherwise(n * F.ln(theta))
+    return F.when(k == 0, none).when(k == n, every).otherwise(inner)
+
+
 def ln_choose(n: Column, k: Column) -> Column:
+    """ln C(n, k): the binomial probability at θ = k / n without its powers."""
     n, k = n.cast("double"), k.cast("double")
-    return ln_gamma(n + 1) - ln_gamma(k + 1) - ln_gamma(n - k + 1)
+    share = F.try_divide(k, n)
+    powers = k * F.ln(share) + (n - k) * F.log1p(-share)
+    return F.when((k == 0) | (k == n), 0.0).otherwise(ln_binomial(share, n, k) - powers)
 
 
 def normal_cdf(x: Column) -> Column:

@@ -11,8 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwright.functions.beta import beta_cdf, beta_quantile
-from tillwright.functions.scalars import ln_choose, ln_gamma, rate
+from tillwright.functions.beta import beta_cdf, beta_quantile, beta_sf
+from tillwright.functions.scalars import ln_binomial, rate
 from tillwright.operators.ordered import running_totals
 
 # The main prior, the alternatives, the click-rate thresholds and the rollout rule.
@@ -89,7 +89,7 @@ def exceedance(df: DataFrame, thresholds: Sequence[float] = THRESHOLDS) -> DataF
     """One row per trial and threshold with P(θ > threshold)."""
     each = F.explode(F.array(*[F.lit(float(t)) for t in thresholds]))
     out = df.withColumn("threshold", each)
-    return out.withColumn("p_above", 1 - beta_cdf(F.col("alpha_post"), F.col("beta_post"), F.col("threshold")))
+    return out.withColumn("p_above", beta_sf(F.col("alpha_post"), F.col("beta_post"), F.col("threshold")))
 
 
 def below_lower_bound(interval: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def below_lower_bound(interval: DataFrame) -> DataFrame:
 
 def gated(df: DataFrame, above: float = GATE_RATE, at_least: float = GATE_PROBABILITY) -> DataFrame:
     """Adds P(θ > above) and the rollout decision."""
-    p = 1 - beta_cdf(F.col("alpha_post"), F.col("beta_post"), F.lit(above))
+    p = beta_sf(F.col("alpha_post"), F.col("beta_post"), F.lit(above))
     return df.withColumn("p_above", p).withColumn(
         "decision", F.when(F.col("p_above") >= at_least, "roll_out").otherwise("hold")
     )
@@ -118,7 +118,7 @@ def prior_sensitivity(df: DataFrame, priors: Sequence[tuple[str, float, float]]
         "prior": F.col("_p.tag"), "effective_n": F.col("_p.a") + F.col("_p.b"),
     }).drop("_p")
     out = with_interval(out.withColumn("post_mean", beta_mean(F.col("alpha_post"), F.col("beta_post"))))
-    return out.withColumn("p_above", 1 - beta_cdf(F.col("alpha_post"), F.col("beta_post"), F.lit(above)))
+    return out.withColumn("p_above", beta_sf(F.col("alpha_post"), F.col("beta_post"), F.lit(above)))
 
 
 def prior_from_past(df: DataFrame) -> DataFrame:
@@ -140,43 +140,52 @@ def width_projection(interval: DataFrame, extra: Sequence[int] = EXTRA_IMPRESSIO
 
 def log_likelihood(theta: Column, n: Column, z: Column) -> Column:
     """ln P(z clicks in n impressions | θ), in log space throughout; 0 · ln 0 counts as 0."""
-    def times_ln(k: Column, x: Column) -> Column:
-        return F.when(k == 0, F.lit(0.0)).otherwise(k * F.ln(x))
-
-    return ln_choose(n, z) + times_ln(z, theta) + times_ln(n - z, 1 - theta)
+    return ln_binomial(theta, n, z)
 
 
 def likelihood(theta: Column, n: Column, z: Column) -> Column:
     return F.exp(log_likelihood(theta, n, z))
 
 
+def ln_beta_density(theta: Column, a: Column, b: Column) -> Column:
+    return ln_binomial(theta, a + b, a) + F.ln(a * b / (a + b)) - F.ln(theta) - F.log1p(-theta)
+
+
 def beta_density(theta: Column, a: Column, b: Column) -> Column:
-    ln = ln_gamma(a + b) - ln_gamma(a) - ln_gamma(b) + (a - 1) * F.ln(theta) + (b - 1) * F.ln(1 - theta)
-    return F.exp(ln)
+    return F.exp(ln_beta_density(theta, a, b))
 
 
-def curves(post: DataFrame, low: float = 0.001, high: float = 0.20, points: int = 500) -> DataFrame:
+def curves(post: DataFrame, low: float = 0.001, high: float = 0.20, points: int = 500, spread: float | None = None) -> DataFrame:
     """Prior, likelihood and posterior on an even grid of rates, per ad.
 
-    ``cumulative`` is the normalised running sum of the posterior and
-    ``in_interval`` marks its central 95 %.
+    ``spread`` centres an ad's grid on its posterior mean, that many standard
+    deviations to each side (inside 0 and 1): a narrow posterior falls between
+    the points of a fixed grid. ``cumulative`` is the normalised running sum of
+    the posterior; ``in_interval`` marks its central 95 % by the quantiles.
     """
-    grid = post.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    theta = F.lit(low) + F.col("point") * ((high - low) / (points - 1))
-    grid = grid.withColumn("theta", theta)
+    a, b = F.col("alpha_post"), F.col("beta_post")
+    first, last = F.lit(low), F.lit(high)
+    if spread is not None:
+        first = F.greatest(beta_mean(a, b) - spread * beta_sd(a, b), beta_mean(a, b) * 1e-3)
+        last = F.least(beta_mean(a, b) + spread * beta_sd(a, b), 1 - beta_mean(b, a) * 1e-3)
+    bounds = with_interval(post).withColumns({"_first": first, "_last": last})
+    grid = bounds.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    grid = grid.withColumn("theta", F.col("_first") + F.col("point") * ((F.col("_last") - F.col("_first")) / (points - 1)))
     x = F.col("theta")
     grid = grid.withColumns({
         "prior_density": beta_density(x, F.col("alpha_prior"), F.col("beta_prior")),
         "likelihood": likelihood(x, F.col("impressions"), F.col("clicks")),
-        "post_density": beta_density(x, F.col("alpha_post"), F.col("beta_post")),
+        "_ln_post": ln_beta_density(x, a, b),
     })
     ad = Window.partitionBy("ad_id").orderBy("point")
     running = ad.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = ad.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    share = F.sum("post_density").over(running) / F.sum("post_density").over(whole)
+    # Against the highest point, so that a sum of densities is never 0.
+    grid = grid.withColumn("_part", F.exp(F.col("_ln_post") - F.max("_ln_post").over(whole)))
+    share = F.try_divide(F.sum("_part").over(running), F.sum("_part").over(whole))
     return grid.withColumn("cumulative", share).select(
-        "ad_id", "point", "theta", "prior_density", "likelihood", "post_density", "cumulative",
-        F.col("cumulative").between(0.025, 0.975).alias("in_interval"),
+        "ad_id", "point", "theta", "prior_density", "likelihood", F.exp("_ln_post").alias("post_density"), "cumulative",
+        F.col("theta").between(F.col("post_lower"), F.col("post_upper")).alias("in_interval"),
     )
 
 

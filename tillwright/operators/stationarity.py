@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwright.functions.regression import nested_rss, product_sums, solved
 from tillwright.functions.scalars import normal_cdf
+from tillwright.functions.unitroot import unit_root_fit
 from tillwright.operators.calendar import per_series
 
-MAX_LAG = 30
-
 # Published response surfaces for the test with a constant.
 CRITICAL_5 = [-2.86154, -2.8903, -4.234, -40.04]  # in powers of 1/T
 P_SPLIT, P_LOWEST, P_HIGHEST = -1.61, -18.83, 2.74
@@ -37,55 +35,17 @@ def differenced(series: DataFrame, value: str = "revenue") -> DataFrame:
     return series.withColumn(value, change).filter(F.col(value).isNotNull())
 
 
-def adf(series: DataFrame, value: str = "revenue", max_lag: int = MAX_LAG) -> DataFrame:
+def adf(series: DataFrame, value: str = "revenue") -> DataFrame:
     """Augmented Dickey-Fuller statistic with a constant, per series.
 
-    Lag orders up to 12·(n/100)^¼ (at most ``max_lag``) compete by AIC on one
-    common sample; the chosen one is fitted again on all rows it allows.
+    Lag orders up to 12·(n/100)^¼, a bound that the length of the series alone
+    sets, compete by AIC on one common sample; the chosen one is fitted again on
+    all rows it allows. A series is one array, bounded by the calendar. One that
+    is constant or very short has no statistic but keeps its row.
     """
-    ordered = per_series().orderBy("step")
-    # Centred and scaled for conditioning; the statistic does not change by it.
-    z = F.try_divide(F.col(value) - F.avg(value).over(per_series()), F.stddev_pop(value).over(per_series()))
-    base = series.select(
-        "series_key", "step", z.alias("z"),
-        F.row_number().over(ordered).alias("t"), F.count("*").over(per_series()).alias("n"),
-    ).withColumn("level", F.lag("z").over(ordered)).withColumn("change", F.col("z") - F.col("level"))
-    rule = F.ceil(12 * F.pow(F.col("n") / 100, F.lit(0.25)))
-    base = base.select(
-        "series_key", "t", "level", "change",
-        F.greatest(F.lit(0), F.least(F.lit(max_lag), rule, F.floor(F.col("n") / 2) - 2)).cast("int").alias("cap"),
-        F.collect_list("change").over(ordered.rowsBetween(-max_lag, -1)).alias("before"),
-    ).filter(F.col("change").isNotNull())
-    # Newest first, filled up to a fixed length; rows that lack a lag they need are left out below.
-    padded = F.concat(F.reverse("before"), F.array_repeat(F.lit(0.0), max_lag))
-    base = base.withColumn("lags", F.slice(padded, 1, max_lag)).drop("before")
-
-    size, target = max_lag + 3, max_lag + 2
-
-    def sums(rows: DataFrame, order: str, *also: str) -> DataFrame:
-        kept = F.transform("lags", lambda v, i: F.when(i < F.col(order), v).otherwise(F.lit(0.0)))
-        vector = F.concat(F.array(F.lit(1.0), F.col("level")), kept, F.array("change"))
-        return product_sums(rows.filter(F.col("t") >= F.col(order) + 2), ["series_key", *also], vector, size)
-
-    common = sums(base, "cap", "cap")
-    rss = nested_rss(F.col("products"), F.col("cap") + 2, target)
-    n = F.col("products")[0][0]
-    chosen = common.select("series_key", n.alias("n"), F.slice(rss, 2, F.col("cap") + 1).alias("rss"))
-    aic = F.transform("rss", lambda r, p: F.col("n") * F.ln(r / F.col("n")) + 2 * (p + 2))
-    chosen = chosen.select("series_key", aic.alias("aic")).select(
-        "series_key", (F.array_position("aic", F.array_min("aic")) - 1).cast("int").alias("lag_order")
-    )
-    final = sums(base.join(chosen, "series_key"), "lag_order", "lag_order")
-    fit = final.select(
-        "series_key", "lag_order", F.col("products")[0][0].alias("n_obs"),
-        solved(F.col("products"), F.col("lag_order") + 2).alias("m"),
-    )
-    m, n_obs = F.col("m"), F.col("n_obs")
-    error = F.sqrt(F.try_divide(m[target][target], n_obs - F.col("lag_order") - 2) * m[1][1])
-    tested = fit.select("series_key", "lag_order", n_obs.cast("bigint").alias("n_obs"),
-                        F.try_divide(m[1][target], error).alias("adf_stat"))
-    # A constant or very short series has no statistic but keeps its row.
-    out = series.select("series_key").distinct().join(tested, "series_key", "left")
+    values = F.array_sort(F.collect_list(F.struct("step", F.col(value).cast("double").alias("value"))))
+    past = series.groupBy("series_key").agg(F.transform(values, lambda e: e["value"]).alias("history"))
+    out = past.select("series_key", unit_root_fit(F.col("history")).alias("fit")).select("series_key", "fit.*")
     return out.withColumns({
         "p_value": p_value(F.col("adf_stat")),
         "critical_5": _polynomial(1 / F.col("n_obs"), CRITICAL_5),

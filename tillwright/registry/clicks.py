@@ -87,6 +87,18 @@ def _(spark, d):
     return _rounded(bayes.mass_between(_posterior(spark, d), 0.3, 0.4), "mass").select("ad_id", "mass")
 
 
+@add("click_prior_interval", f"""WITH RECURSIVE {TRIALS}, prior AS (SELECT ad_id, 10 AS a1, 200 AS b1 FROM trials), {intervals('prior', 'ad_id')}
+  SELECT ad_id, round(lower_end, 6) AS prior_lower, round(upper_end, 6) AS prior_upper, round(upper_end - lower_end, 6) AS prior_width FROM ci""")
+def _(spark, d):
+    bounds = bayes.with_interval(_posterior(spark, d), which="prior")
+    return _rounded(bounds, "prior_lower", "prior_upper", "prior_width").select("ad_id", "prior_lower", "prior_upper", "prior_width")
+
+
+@add("click_prior_mass", f"WITH {TRIALS} SELECT ad_id, round({cdf('10', '200', '0.08')} - {cdf('10', '200', '0.02')}, 6) AS mass FROM trials")
+def _(spark, d):
+    return _rounded(bayes.mass_between(_posterior(spark, d), 0.02, 0.08, "prior"), "mass").select("ad_id", "mass")
+
+
 @add("click_exceedance", f"""WITH {TRIALS} SELECT ad_id, t::DOUBLE AS threshold, round(1 - {cdf('a1', 'b1', 't')}, 6) + 0.0 AS p_above
   FROM post, (SELECT unnest({RATES}) AS t)""")
 def _(spark, d):
@@ -135,19 +147,21 @@ dens AS (SELECT ad_id, k, theta,
   exp(lgamma(impressions + 1) - lgamma(clicks + 1) - lgamma(impressions - clicks + 1) + clicks * ln(theta)
       + (impressions - clicks) * ln(1 - theta)) AS likelihood,
   exp(lgamma(a1 + b1) - lgamma(a1) - lgamma(b1) + (a1 - 1) * ln(theta) + (b1 - 1) * ln(1 - theta)) AS post_density FROM grid),
-curve AS (SELECT *, sum(post_density) OVER (PARTITION BY ad_id ORDER BY k) / sum(post_density) OVER (PARTITION BY ad_id) AS share FROM dens)"""
+{intervals('post', 'ad_id')},
+curve AS (SELECT *, sum(post_density) OVER (PARTITION BY ad_id ORDER BY k) / sum(post_density) OVER (PARTITION BY ad_id) AS share,
+  theta BETWEEN lower_end AND upper_end AS inside FROM dens JOIN (SELECT ad_id, lower_end, upper_end FROM ci) USING (ad_id))"""
 
 
-@add("figure_click_curves", f"""WITH {GRID} SELECT ad_id, k AS point, round(theta, 6) AS theta, round(prior_density, 6) AS prior_density,
+@add("figure_click_curves", f"""WITH RECURSIVE {GRID} SELECT ad_id, k AS point, round(theta, 6) AS theta, round(prior_density, 6) AS prior_density,
   round(likelihood, 8) AS likelihood, round(post_density, 6) AS post_density, round(share, 6) AS cumulative,
-  share BETWEEN 0.025 AND 0.975 AS in_interval FROM curve""")
+  inside AS in_interval FROM curve""")
 def _(spark, d):
     rows = bayes.curves(_posterior(spark, d), high=0.999)
     return _rounded(rows, "theta", "prior_density", "post_density", "cumulative").withColumn("likelihood", F.round("likelihood", 8))
 
 
-@add("click_grid_summary", f"""WITH {GRID} SELECT ad_id, round(min(theta) FILTER (share BETWEEN 0.025 AND 0.975), 6) AS grid_lower,
-  round(max(theta) FILTER (share BETWEEN 0.025 AND 0.975), 6) AS grid_upper, round(first(theta ORDER BY round(likelihood, 12) DESC, theta), 6) AS mle
+@add("click_grid_summary", f"""WITH RECURSIVE {GRID} SELECT ad_id, round(min(theta) FILTER (inside), 6) AS grid_lower,
+  round(max(theta) FILTER (inside), 6) AS grid_upper, round(first(theta ORDER BY round(likelihood, 12) DESC, theta), 6) AS mle
   FROM curve GROUP BY 1""")
 def _(spark, d):
     return _rounded(bayes.grid_summary(bayes.curves(_posterior(spark, d), high=0.999)), "grid_lower", "grid_upper", "mle")
