@@ -86,6 +86,14 @@ def test_lm_is_a_distribution_over_the_next_symbol():
         assert sums == pytest.approx(1, abs=1e-9)
 
 
+def test_lm_bar_does_not_rise_with_the_corpus(spark):
+    """A run seen three times shapes scores among four million other symbols too."""
+    rare = spark.createDataFrame([(k, "alpha beta gamma") for k in range(4)], "doc_id long, text string")
+    filler = spark.range(1).select((F.col("id") + 100).alias("doc_id"), F.repeat(F.lit("z "), 4_000_000).alias("text"))
+    r = pst.score(rare.union(filler), F.col("doc_id") == 0).where("held_out").first()
+    assert r.score > r.base_score + 3
+
+
 def test_ordinal_model_orders_four_grades():
     pick = np.random.default_rng(1)
     words = [f"w{k}" for k in range(8)]

@@ -2,20 +2,21 @@
 
 Symbols are a text's words and one end. The root is the smoothed distribution of
 single symbols (the base); a context is a run of up to ``DEPTH`` words. The tree's
-statistics are the runs of symbols that make up ``share`` or more of all training
-symbols: at most (DEPTH + 1) / share runs whatever the corpus, which bounds the
-tree that is broadcast. They are found exactly: a run that is so frequent in the
-whole must be so in some chunk of it, so chunks name candidates and another pass
-counts these over all documents.
+statistics are the runs of symbols that occur ``least`` times or more in the training
+texts, the same bar at every size of the corpus. They are counted by the 64-bit codes
+of runs and grown by joins, one length after another; the tree is a table of codes,
+which grows with the corpus and which no process holds whole.
 
 A context is retained if its next-symbol distribution diverges from that of its
 longest retained suffix: by ``gain`` nats over its occurrences. It is smoothed by
 absolute discounting towards that suffix, P(w | s) = (n(s, w) - d) / n(s) + rest(s)
-* P(w | suffix), for the frequent runs s w; all else is the suffix's. A text is
+* P(w | suffix), for the counted runs s w; all else is the suffix's. A text is
 scored from the longest retained suffix of what stands before each symbol.
 
-Documents meet the counts of their words by blocks of about ``BLOCK`` bytes of text: a
-block asks for each of its distinct words once, and texts are shuffled once.
+Documents meet the counts of their words, and the tree, by blocks of about ``BLOCK`` bytes
+of text: a block asks for the code of each of its distinct runs once, and texts are
+shuffled once. ``frequent``, ``Runs``, ``grow`` and ``Tree`` do the same in memory; tests
+compare the tables with them.
 
 Null texts are empty (an end only). A null doc_id counts as the empty id in the
 hold-out rule. Repeated rows are scored, and learned from, each.
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +40,7 @@ from tillwright.session import durable
 DEPTH = 3
 BLOCK = 16 << 20
 CHUNK = 4_000_000  # symbols
+SENT = 1 << 17  # rows of a batch
 END = b"\n"
 DISCOUNT = 0.75
 STEP = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the rolling hash
@@ -225,43 +228,107 @@ def grow(counts: dict[bytes, int], root: dict[bytes, float], gain: float) -> Tre
     return Tree(runs, np.array([rest.get(r, 1.0) for r in names]), np.array([adds.get(r, 0.0) for r in names]))
 
 
-def learned(training: DataFrame, total: int, kinds: int, share: float, least: int, gain: float) -> Tree:
-    """The tree of the texts of ``training``, which hold ``total`` symbols of ``kinds`` kinds."""
-    spark = training.sparkSession
-    threshold = max(share * total, least)
-    # A chunk under CHUNK symbols would name every run as a candidate: small inputs are read by fewer tasks.
-    dealt = training.select("text").coalesce(max(1, total // CHUNK))
+def rolled(hashes: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For sizes 1 to DEPTH + 1: where runs of the size end, and the code of the run that ends at each symbol."""
+    codes = hashes * STEP
+    yield np.arange(len(hashes)), codes
+    for size in range(2, DEPTH + 2):
+        at = np.flatnonzero(place >= size - 1)
+        codes = codes.copy()
+        codes[at] += hashes[at - (size - 1)] * np.uint64(pow(int(STEP), size, 1 << 64))
+        yield at, codes
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, CHUNK):
-            runs = frequent(chunk, threshold * chunk.size / total)
-            runs += sorted({w for run in runs for w in run.split(b" ")})
-            codes = np.array([code_of(r) for r in runs], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array([b" " not in r for r in runs], pa.bool_()), pa.array(runs, pa.binary())],
-                                             ["code", "single", "run"])
 
-    named = durable(dealt.mapInArrow(candidates, "code long, single boolean, run binary").distinct())
-    words = named.where("single").select("run").toArrow()["run"].to_pylist()
-    codes = named.where("NOT single").select("code").toArrow()["code"].to_numpy().astype(np.int64)
-    shared = spark.sparkContext.broadcast(Runs(words, codes.view(np.uint64)))
+def signed(codes: np.ndarray) -> pa.Array:
+    return pa.array(codes.view(np.int64))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = shared.value
-        summed = np.zeros(len(runs.codes), np.int64)
-        for chunk in chunks(batches, CHUNK // 8):
+
+def hashes_of(names: list[bytes]) -> np.ndarray:
+    return np.array([hashed(w) for w in names], np.uint64)
+
+
+def counted_runs(training: DataFrame) -> DataFrame:
+    """size, code, n, and the codes of context (all but the last symbol) and suffix (all but the first), of the runs of 2 to DEPTH + 1 symbols.
+
+    Tasks sum up each chunk before the shuffle, so a run sends one row per chunk however often it occurs.
+    """
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches, CHUNK // 4):
             names, numbers, place = chunk.arrays()
-            for slots in runs.ending(runs.of(names)[numbers], place):
-                summed += np.bincount(slots[slots >= 0], minlength=len(summed))
-        there = np.flatnonzero(summed)
-        yield pa.RecordBatch.from_arrays([pa.array(runs.codes[there].view(np.int64)), pa.array(summed[there])], ["code", "n"])
+            shorter = None
+            for size, (at, codes) in enumerate(rolled(hashes_of(names)[numbers], place), 1):
+                if size > 1:
+                    own, first, n = np.unique(codes[at], return_index=True, return_counts=True)
+                    end = at[first]
+                    batch = pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(own), size, np.int8)), signed(own), signed(shorter[end - 1]), signed(shorter[end]), pa.array(n.astype(np.int64))],
+                        ["size", "code", "context", "suffix", "n"])
+                    for start in range(0, len(own), SENT):
+                        yield batch.slice(start, SENT)
+                shorter = codes
+
+    rows = training.select("text").mapInArrow(found, "size byte, code long, context long, suffix long, n long")
+    # Dealt first: chunks are summed already, and most of their runs are no other chunk's.
+    return rows.repartition("code").groupBy("size", "code").agg(F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix"))
+
+
+def coded(vocabulary: DataFrame) -> DataFrame:
+    """code and n of single words."""
+
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([signed(hashes_of(batch.column("word").to_pylist()) * STEP), batch.column("n")], ["code", "n"])
+
+    return vocabulary.select("word", "n").mapInArrow(codes, "code long, n long")
 
-    often = training.select("text").mapInArrow(counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
-    held = named.join(often, "code").select("run", "n").toArrow()
-    exact = dict(zip(held["run"].to_pylist(), held["n"].to_pylist()))
-    return grow(exact, {r: (n + 0.1) / (total + 0.1 * (kinds + 1)) for r, n in exact.items() if b" " not in r}, gain)
 
+def learned(training: DataFrame, single: DataFrame, mass: float, least: int, gain: float) -> DataFrame:
+    """The tree as rows of code and rest (retained contexts: the weight of the suffix) or add (what a run adds as context and next symbol).
 
-def score(docs: DataFrame, held_out: Column, share: float = 1e-6, least: int = 2, gain: float = 4.0) -> DataFrame:
+    ``single``: code and n of single symbols. A run's context and suffix are one symbol
+    shorter and occur as often at least, so they are in the level before.
+    """
+    runs = durable(counted_runs(training).where(F.col("n") >= least))
+    level = single.where("n > 0").select("code", "n", ((F.col("n") + 0.1) / mass).alias("p"))
+    own = (F.col("n") - DISCOUNT) / F.col("total")
+    tree = None
+    for size in range(2, DEPTH + 2):
+        rows = durable(
+            runs.where(F.col("size") == size).join(level.select(F.col("code").alias("suffix"), "p"), "suffix")
+            .join(level.select(F.col("code").alias("context"), F.col("n").alias("total")), "context").select("code", "context", "n", "total", "p"))
+        known = rows.groupBy("context").agg(F.max("total").alias("of"), F.sum("n").alias("known"), F.count("*").alias("kinds"))
+        known = known.withColumn("left", 1 - (F.col("known") - DISCOUNT * F.col("kinds")) / F.col("of"))
+        gains = rows.join(known, "context").groupBy("context", "of", "known", "left").agg(
+            F.sum(F.col("n") * F.log((own + F.col("left") * F.col("p")) / F.col("p"))).alias("gained"))
+        unknown = (F.col("of") - F.col("known")) * F.log(F.greatest("left", F.lit(1e-9)))
+        kept = durable(gains.where(F.col("gained") + unknown >= gain).select("context", "left"))
+        level = durable(rows.join(kept, "context", "left").select(
+            "code", "n", F.coalesce(own + F.col("left") * F.col("p"), F.col("p")).alias("p"), F.when(F.col("left").isNotNull(), own).alias("add")))
+        none = F.lit(None).cast("double")
+        grown = kept.select(F.col("context").alias("code"), F.col("left").alias("rest"), none.alias("add")).union(
+            level.where("add IS NOT NULL").select("code", none.alias("rest"), "add"))
+        tree = grown if tree is None else tree.union(grown)
+    return tree
+
+
+def column_by_code(answers: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The codes that have a value in the column, in order, and the values."""
+    part = answers.filter(pc.is_valid(answers[name]))
+    codes = part["code"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(codes)
+    return codes[order], part[name].to_numpy()[order]
+
+
+def looked_up(found: tuple[np.ndarray, np.ndarray], codes: np.ndarray, default: float) -> np.ndarray:
+    """The values of the codes in a column by code."""
+    slot, there = lookup(found[0], codes)
+    values = np.full(len(codes), default, found[1].dtype)
+    values[there] = found[1][slot[there]]
+    return values
+
+
+def score(docs: DataFrame, held_out: Column, least: int = 2, gain: float = 4.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; documents held out aren't learned from."""
     rows = docs.select("doc_id", held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
 
@@ -286,28 +353,40 @@ def score(docs: DataFrame, held_out: Column, share: float = 1e-6, least: int = 2
     n_ends, size = rows.agg(F.count_if(~F.col("held_out")), F.sum(F.octet_length("text"))).first()
     n_words, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     total, kinds = n_words + n_ends, distinct + (n_ends > 0)
-    tree = learned(rows.where(~F.col("held_out")), total, kinds, share, least, gain)
-    shared = rows.sparkSession.sparkContext.broadcast(tree)
     mass = total + 0.1 * (kinds + 1)
+    ends = rows.sparkSession.createDataFrame([(END, n_ends)], "word binary, n long")
+    single = durable(coded(vocabulary.unionByName(ends)))
+    none = F.lit(None).cast("double")
+    tree = learned(rows.where(~F.col("held_out")), single, mass, least, gain)
+    known = single.select("code", "n", none.alias("rest"), none.alias("add")).unionByName(tree.withColumn("n", F.lit(None).cast("long")))
     blocks = max(1, -(-(size or 0) // BLOCK))
     placed = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(blocks)).cast("int"))
 
     def asked(group: pa.Table) -> pa.Table:
-        words = set()
+        chunk = Chunk()
         for text in group["text"]:
-            words.update(tokens(text.as_py()))
-        return pa.table({"block": pa.array([group["block"][0].as_py()] * len(words), pa.int32()), "word": pa.array(list(words), pa.binary())})
+            chunk.add(text.as_py())
+        names, numbers, place = chunk.arrays()
+        codes = np.concatenate([np.unique(codes[at]) for at, codes in rolled(hashes_of(names)[numbers], place)])
+        return pa.table({"block": pa.array(np.full(len(codes), group["block"][0].as_py(), np.int32)), "code": signed(codes)})
 
     def scored(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        names = [*answers["word"].to_pylist(), END]
-        n = np.append(answers["n"].to_numpy(), n_ends)
         chunk = Chunk()
-        chunk.numbers.update(zip(names, range(len(names))))
         for text in texts["text"]:
             chunk.add(text.as_py())
-        _, numbers, place = chunk.arrays()
+        names, numbers, place = chunk.arrays()
+        hashes = hashes_of(names)
+        times, rests, adds = (column_by_code(answers, c) for c in ("n", "rest", "add"))
+        n = looked_up(times, hashes * STEP, 0)
         base = ((n + 0.1) / mass)[numbers]
-        model = shared.value.log10(shared.value.runs.of(names)[numbers], place, base)
+        found, shorter = base.copy(), None
+        for size, (at, codes) in enumerate(rolled(hashes[numbers], place), 1):
+            if size > 1:  # contexts one symbol shorter, which end before the symbol; the shortest come first
+                rest = looked_up(rests, shorter[at - 1], 1.0)
+                at, rest = at[rest < 1], rest[rest < 1]
+                found[at] = found[at] * rest + looked_up(adds, codes[at], 0.0)
+            shorter = codes
+        model = np.log10(found)
         first = np.flatnonzero(place == 0)
         return pa.table({
             "doc_id": texts["doc_id"], "held_out": texts["held_out"],
@@ -315,8 +394,8 @@ def score(docs: DataFrame, held_out: Column, share: float = 1e-6, least: int = 2
             "train_tokens": pa.array(np.full(len(first), total, np.int64)),
             "base_score": pa.array(np.add.reduceat(np.log10(base), first)), "score": pa.array(np.add.reduceat(model, first))})
 
-    wanted = placed.groupBy("block").applyInArrow(asked, "block int, word binary")
-    answers = wanted.join(vocabulary, "word").select("block", "word", "n")
+    wanted = placed.groupBy("block").applyInArrow(asked, "block int, code long")
+    answers = wanted.join(known, "code").select("block", "code", "n", "rest", "add")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         scored, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
