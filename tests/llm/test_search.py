@@ -152,6 +152,25 @@ def test_likeness_and_merging(spark):
     assert near(brute_sketch(long), brute_sketch(short)) == pytest.approx(r.inside)
 
 
+def test_containment_of_short_texts(spark, tmp_path):
+    """Ten words inside a long text: exact with every hash, and never 0 for want of comparable hashes."""
+    long = prose(3, 2000)
+    words = long.split()
+    df = spark.createDataFrame([(k, long, " ".join(words[20 * k:20 * k + 10])) for k in range(60)], "k int, a string, b string")
+    every = sketch.with_sketch(sketch.with_sketch(df, "a", "sa", fraction=1), "b", "sb", fraction=1)
+    assert {r[0] for r in every.select(sketch.containment("sa", "sb", 1)).collect()} == {1.0}
+    some = sketch.with_sketch(sketch.with_sketch(df, "a", "sa"), "b", "sb")
+    assert {r[0] for r in some.select(sketch.containment("sa", "sb")).collect()} == {1.0, None}
+    texts = [(k, " ".join(words[20 * k:20 * k + 24])) for k in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    shingles = lambda t: {tuple(t.lower().split()[i:i + 5]) for i in range(max(1, len(t.split()) - 4))}
+    got = {r.doc_id: r.near_edited for r in registry.op6_document_fingerprints(spark, str(tmp_path)).collect()}
+    for d, t in texts:
+        following = texts[d - 1][1] if d else texts[-1][1]
+        a, b = shingles(t), shingles(t[:len(t) - len(t) // 3] + following[:len(t) // 3])
+        assert got[d] == pytest.approx(len(a & b) / min(len(a), len(b)))
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_registered_queries_equal_their_twins(spark, folder, name):
     con = connect(folder)

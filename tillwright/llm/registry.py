@@ -44,11 +44,11 @@ def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = sketch.edited_pairs(table(spark, folder, "documents"))
+    pairs = sketch.edited_pairs(table(spark, folder, "documents"), fraction=1)
     return pairs.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), sketch.fingerprint("sketch").alias("fingerprint"),
-        sketch.fingerprint("edited_sketch").alias("edited_fingerprint"), sketch.containment("sketch", "edited_sketch").alias("near_edited"),
-        sketch.containment("sketch", "next_sketch").alias("near_next"))
+        sketch.fingerprint("edited_sketch").alias("edited_fingerprint"), sketch.containment("sketch", "edited_sketch", 1).alias("near_edited"),
+        sketch.containment("sketch", "next_sketch", 1).alias("near_next"))
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:

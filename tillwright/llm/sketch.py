@@ -3,9 +3,11 @@
 Every shingle hash below a fixed fraction of the hash range is retained, whatever
 the length of the text, so sketches of unequal documents stay comparable: the
 share of the smaller sketch's hashes found in the other estimates containment, and
-the union of two sketches is the sketch of both texts. The lowest hash is always
-retained, so that short texts have a fingerprint; the lowest of a union is the
-lowest of the two lowest, so merging still works.
+the union of two sketches is the sketch of both texts. With fraction 1 every hash is
+retained and containment is exact. With less, the lowest hash is always retained, so
+that short texts have a fingerprint; the lowest of a union is the lowest of the two
+lowest, so merging still works. A lowest hash above the fraction can't be sought in
+a sketch that ends below it: the containment of such a pair is null.
 
 Words are runs of characters other than ASCII white space, lower-cased; a text of
 fewer words than a shingle is one shingle; a text without words has the empty
@@ -23,13 +25,18 @@ from tillwright.session import durable
 LOWEST = -(1 << 63)
 
 
+def top(fraction: float) -> int | None:
+    """The first hash above the fraction; None if there is none."""
+    return None if fraction >= 1 else LOWEST + int(fraction * (1 << 64))
+
+
 def with_sketch(df: DataFrame, text: str, name: str, words: int = 5, fraction: float = 1 / 8) -> DataFrame:
     """``df`` and ``name``, the sorted distinct retained hashes of ``text``.
 
     The steps are columns of their own, each read more than once by the next, so
     that a step is computed once per row and not once per element.
     """
-    limit = LOWEST + int(fraction * (1 << 64))
+    limit = top(fraction)
     bare = F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(SPACES))
     tokens = F.filter(F.split(bare, "[ \\t-\\r]+", -1), lambda w: w != "")
     df = df.withColumn("_words", F.transform(tokens, lambda w: F.xxhash64(w)))
@@ -37,6 +44,8 @@ def with_sketch(df: DataFrame, text: str, name: str, words: int = 5, fraction: f
     shingles = F.when(n >= words, F.transform(F.sequence(F.lit(1), F.greatest(n - words + 1, F.lit(1))),
                                               lambda i: F.xxhash64(F.slice("_words", i, words))))
     df = df.withColumn("_shingles", shingles.when(n > 0, F.array(F.xxhash64("_words"))).otherwise(F.array().cast("array<bigint>")))
+    if limit is None:
+        return df.withColumn(name, F.array_sort(F.array_distinct("_shingles"))).drop("_words", "_shingles")
     lowest = F.array_min("_shingles")
     kept = F.array_sort(F.array_distinct(F.filter("_shingles", lambda x: x < limit)))
     return df.withColumn(name, F.when(F.coalesce(lowest < limit, F.lit(True)), kept).otherwise(F.array(lowest))).drop("_words", "_shingles")
@@ -47,18 +56,21 @@ def fingerprint(sketch: str) -> Column:
     return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
-def containment(a: str, b: str) -> Column:
-    """Estimated share of the smaller document's shingles that the other has too, 0 to 1."""
-    least = F.least(F.size(a), F.size(b))
+def containment(a: str, b: str, fraction: float = 1 / 8) -> Column:
+    """Estimated share of the smaller document's shingles that the other has too, 0 to 1; null where the sketches can't tell."""
+    least, limit = F.least(F.size(a), F.size(b)), top(fraction)
     both_empty = (F.size(a) == 0) & (F.size(b) == 0)
-    return F.when(both_empty, 1.0).when(least == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / least).cast("double")
+    share = F.when(both_empty, 1.0).when(least == 0, 0.0)
+    if limit is not None:
+        share = share.when((F.array_min(a) >= limit) != (F.array_min(b) >= limit), F.lit(None))
+    return share.otherwise(F.size(F.array_intersect(a, b)) / least).cast("double")
 
 
 def merged(a: str, b: str, fraction: float = 1 / 8) -> Column:
     """The sketch of both texts together, but for the shingles across the seam."""
-    limit = LOWEST + int(fraction * (1 << 64))
+    limit = top(fraction)
     union = F.array_sort(F.array_union(a, b))
-    return F.filter(union, lambda x, i: (x < limit) | (i == 0))
+    return union if limit is None else F.filter(union, lambda x, i: (x < limit) | (i == 0))
 
 
 def successors(docs: DataFrame) -> DataFrame:
@@ -86,13 +98,13 @@ def edited_pairs(docs: DataFrame, words: int = 5, fraction: float = 1 / 8) -> Da
     Rows that repeat a doc_id are edited each; the next document of an id is then the
     row that is first by text. A row without id has no next document (an empty one).
     """
-    every = with_sketch(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sketch", words, fraction)
+    every = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     own = every.where("doc_id IS NOT NULL")  # the same rows on both sides, so that texts are shuffled once for both
     wanted = successors(docs).select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), F.floor(F.col("n") / 3).cast("int").alias("need"))
-    sent = own.join(wanted, "doc_id").groupBy("for_id").agg(
+    sent = with_sketch(own.join(wanted, "doc_id"), "text", "sketch", words, fraction).groupBy("for_id").agg(
         F.min(F.struct(F.substring("text", F.lit(1), F.col("need")).alias("start"), F.col("sketch"))).alias("sent"))
-    both = own.join(sent, own.doc_id == sent.for_id, "left").select("doc_id", "text", "sketch", "sent")
-    both = both.unionByName(every.where("doc_id IS NULL"), allowMissingColumns=True)
+    both = own.join(sent, own.doc_id == sent.for_id, "left").select("doc_id", "text", "sent")
+    both = with_sketch(both.unionByName(every.where("doc_id IS NULL"), allowMissingColumns=True), "text", "sketch", words, fraction)
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
     start = F.coalesce(F.substring("sent.start", F.lit(1), third), F.lit(""))
