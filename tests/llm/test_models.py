@@ -94,6 +94,26 @@ def test_lm_bar_does_not_rise_with_the_corpus(spark):
     assert r.score > r.base_score + 3
 
 
+def test_lm_tables_equal_the_tree_in_memory_and_pass_by_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+
+    def refused(*_):
+        raise AssertionError("runs or tree went through the driver")
+
+    monkeypatch.setattr(type(docs), "toArrow", refused)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", refused)
+    got = {r.doc_id: r.score for r in pst.score(docs, F.lit(False), gain=0.5).collect()}
+    chunk = pst.Chunk()
+    for text in TEXTS:
+        chunk.add(text)
+    names, numbers, place = chunk.arrays()
+    times = np.bincount(numbers)
+    root = (times + 0.1) / (times.sum() + 0.1 * (len(names) + 1))
+    tree = pst.grow(brute_runs(TEXTS, 2) | {w: int(n) for w, n in zip(names, times)}, dict(zip(names, root)), 0.5)
+    each = tree.log10(tree.runs.of(names)[numbers], place, root[numbers])
+    assert [got[k] for k in range(len(TEXTS))] == pytest.approx(np.add.reduceat(each, np.flatnonzero(place == 0)).tolist())
+
+
 def test_ordinal_model_orders_four_grades():
     pick = np.random.default_rng(1)
     words = [f"w{k}" for k in range(8)]
