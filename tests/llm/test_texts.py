@@ -31,11 +31,15 @@ def test_bpe_round_trip_equals_the_library(awkward, empty, library):
 def test_bpe_cuts_change_nothing(library):
     raw, pick = bpe.rank_bytes(registry.RANKS), random.Random(3)
     parts = ["a", "Z", "é", "'s", "'ll", "9", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "　", "!", "_", "́", "日", "\r\n", "\x00", "😀"]
-    for _ in range(1500):
+    for k in range(1500):
         text = "".join(pick.choice(parts) for _ in range(pick.randint(0, 40)))
         assert bpe.encode_text(text, raw, public_tokenizers.PATTERN).tolist() == library.encode_ordinary(text)
+        assert bpe.encode_text(text, raw, public_tokenizers.PATTERN, limit=1 + k % 5).tolist() == library.encode_ordinary(text)
     long = "".join(pick.choice(["word", "9", "!", "'s", "é"]) for _ in range(20_000))
-    assert len(list(bpe.chunks(long))) > 5 and "".join(bpe.chunks(long)) == long
+    assert len(list(bpe.chunks(long, 4096))) > 5 and "".join(bpe.chunks(long, 4096)) == long
+    assert bpe.encode_text(long, raw, public_tokenizers.PATTERN, limit=4096).tolist() == library.encode_ordinary(long)
+    for text in (" " * 300_000 + "a", "a" * 300_000, "\n\t" * 100_000, "é!" * 100_000):
+        assert bpe.decode_ids(bpe.encode_text(text, raw, public_tokenizers.PATTERN), raw) == text.encode()
     assert bpe.encode_text(long, raw, public_tokenizers.PATTERN).tolist() == library.encode_ordinary(long)
 
 

@@ -29,8 +29,7 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
-    return bpe_digests(bpe.decode(encoded, RANKS), "doc_id")
+    return bpe_digests(bpe.encode(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN, decoded=True), "doc_id")
 
 
 def bpe_digests(decoded: DataFrame, *keep: str) -> DataFrame:
