@@ -37,6 +37,32 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -
             yield batch.slice(start)
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], lead: str | None, keys: list[str]) -> Iterator[pa.Table]:
+    """Sorted batches as tables of whole groups (``keys``), each table of one value of ``lead`` if one is named; a group may span batches."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = pa.concat_tables([held, pa.Table.from_batches([batch])]) if held else pa.Table.from_batches([batch])
+        last = pc.equal(held[keys[0]], held[keys[0]][-1])
+        for key in keys[1:]:
+            last = pc.and_(last, pc.equal(held[key], held[key][-1]))
+        whole = held.num_rows - pc.sum(last).as_py()  # the last group may go on in the next batch
+        yield from _by_value(held.slice(0, whole), lead)
+        held = held.slice(whole)
+    if held:
+        yield from _by_value(held, lead)
+
+
+def _by_value(rows: pa.Table, lead: str | None) -> Iterator[pa.Table]:
+    if rows.num_rows and not lead:
+        yield rows.combine_chunks()
+    elif rows.num_rows:
+        ends = [x["counts"].as_py() for x in pc.value_counts(rows[lead].combine_chunks())]
+        for k, n in enumerate(ends):
+            yield rows.slice(sum(ends[:k]), n).combine_chunks()
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, grade: str, bound: int, keep: Column | None = None) -> DataFrame:
     """doc_id, text and grade of at most ``bound`` labelled documents, chosen by hash of the id.
 

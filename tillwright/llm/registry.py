@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import ann, bpe, chat, linededup, mixing, pst, quality, simhash, sketch, toxicity
+from tillwright.llm import alignment, ann, bpe, chat, linededup, minhash, mixing, pst, quality, simhash, sketch, spelling, toxicity
 from tillwright.llm.common import remainder, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -77,11 +77,45 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("rating.tail").alias("tail_probability"), (F.col("rating.tail") >= 0.5).alias("selected"))
 
 
+def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_chat_formatting, op3_simhash, op4_byte_bpe, op5_nearest_neighbours, op6_document_fingerprints,
-    op7_toxicity, op8_line_dedup, op9_source_mixing, op10_quality)}
+    op7_toxicity, op8_line_dedup, op9_source_mixing, op10_quality, op11_minhash, op12_tokenizer_alignment, op13_spelling_variants)}
 
 ORACLES = {
+    "op11_minhash": """
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                                ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+            FROM worded),
+        flat AS (SELECT doc_id, hash(unnest(s)) AS h FROM sets),
+        sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM flat a JOIN flat b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+        near AS (
+            SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * both >= 85 * (p.n + q.n - both)),
+        edges AS (SELECT x, y FROM near UNION ALL SELECT y, x FROM near),
+        reached AS (
+            SELECT doc_id, doc_id AS r FROM sets
+            UNION
+            SELECT reached.doc_id, edges.y FROM reached JOIN edges ON reached.r = edges.x)
+        SELECT doc_id, n AS n_shingles, min(r) AS component_id, min(r) = doc_id AS kept
+        FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n""",
     "op5_nearest_neighbours": """
         WITH v AS (
             SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
