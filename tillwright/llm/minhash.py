@@ -48,6 +48,7 @@ REACH = 2 * CHUNKS - 1
 CUTS = [SYMBOLS * k // CHUNKS for k in range(CHUNKS + 1)]
 SLICE = 1_000_000  # shingles of a slice of a component
 ROWS = 1024  # classes of a slice
+FILTER = 1 << 23  # bits
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -258,22 +259,38 @@ def confirmed(sets: list[np.ndarray], side: np.ndarray, across: bool, percent: i
     return left[i], right[j]
 
 
+def filter_of(members: DataFrame) -> np.ndarray:
+    """A filter of ``FILTER`` bits with a bit for each hashed doc_id; so many bits at any size, and full ones only let more texts through."""
+    hashed = members.select(F.xxhash64("doc_id").alias("h"))
+    words = hashed.selectExpr(f"shiftrightunsigned(h, 6) & {FILTER // 64 - 1} AS word", "shiftleft(1L, cast(h & 63 AS int)) AS bits")
+    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(FILTER // 64, np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
 def links(docs: DataFrame, classes: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
-    """Spanning links (a, b) between classes (class, doc_id, n_shingles) whose sets are similar, among components (node, component)."""
+    """Spanning links (a, b) between classes (class, doc_id, n_shingles) whose sets are similar, among components (node, component).
+
+    Texts are read again, and those of other documents dropped by a filter of fixed size before anything is shuffled.
+    """
     members = durable(found.union(found.select(F.col("component").alias("node"), "component").distinct())
                       .select(F.col("node").alias("class"), "component").join(classes.select("class", "doc_id", "n_shingles"), "class"))
     parts = members.groupBy("component").agg(F.greatest(F.ceil(F.sum("n_shingles") / SLICE), F.ceil(F.count("*") / ROWS)).cast("int").alias("parts"))
-    asked = members.join(parts, "component").select("doc_id", F.col("class").alias("wanted"), "component", "parts")
-    texts = docs.select("doc_id", "text").join(asked, "doc_id")
+    asked = members.join(parts, "component").select("doc_id", "class", "component", "parts")
+    shared = docs.sparkSession.sparkContext.broadcast(filter_of(members))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
-        for batch in slices(batches, "text", 4 << 20):
-            sets = [shingle_set(t.as_py() or "", words, known) for t in batch.column("text")]
-            same = [k for k, (x, c) in enumerate(zip(sets, batch.column("wanted").to_pylist())) if len(x) and class_of(x) == c]  # not another row of the id
-            yield pa.RecordBatch.from_arrays([batch.column("component").take(pa.array(same, pa.int64())), batch.column("wanted").take(pa.array(same, pa.int64())),
-                                              batch.column("parts").take(pa.array(same, pa.int64())), pa.array([sets[k].tobytes() for k in same], pa.binary())],
-                                             ["component", "class", "parts", "shingles"])
+        known, bits = Words(), shared.value
+        for whole in batches:
+            h = whole.column("h").to_numpy().view(np.uint64)
+            there = (bits[(h >> np.uint64(6)) & np.uint64(len(bits) - 1)] >> (h & np.uint64(63))) & np.uint64(1)
+            for batch in slices([whole.take(pa.array(np.flatnonzero(there)))], "text", 4 << 20):
+                sets = [shingle_set(t.as_py() or "", words, known) for t in batch.column("text")]
+                full = [k for k, x in enumerate(sets) if len(x)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(full, pa.int64())), pa.array([class_of(sets[k]) for k in full], pa.int64()),
+                     pa.array([sets[k].tobytes() for k in full], pa.binary())], schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs_of(batches, None, ["component", "i", "j"]):
@@ -287,7 +304,9 @@ def links(docs: DataFrame, classes: DataFrame, found: DataFrame, words: int, per
                 a, b = confirmed(sets, side[start:end][first], i[start] != j[start], percent)
                 yield forest(own[first], a, b)
 
-    sets = texts.mapInArrow(read, "component long, class long, parts int, shingles binary")
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("class long, shingles binary").fields])
+    sets = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("doc_id").alias("h"), "text").mapInArrow(read, schema)
+    sets = sets.join(asked, ["doc_id", "class"]).select("component", "class", "parts", "shingles")
     return tiles(sets, ["component"], "parts").mapInArrow(run, "a long, b long")
 
 

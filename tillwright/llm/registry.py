@@ -105,10 +105,10 @@ ORACLES = {
             FROM worded),
         flat AS (SELECT doc_id, hash(unnest(s)) AS h FROM sets),
         sizes AS (SELECT doc_id, len(s) AS n FROM sets),
-        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM flat a JOIN flat b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS met FROM flat a JOIN flat b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
         near AS (
             SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
-            WHERE 100 * both >= 85 * (p.n + q.n - both)),
+            WHERE 100 * met >= 85 * (p.n + q.n - met)),
         edges AS (SELECT x, y FROM near UNION ALL SELECT y, x FROM near),
         reached AS (
             SELECT doc_id, doc_id AS r FROM sets
