@@ -42,8 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, their digests and the digest of the bytes they decode to."""
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, keep=("doc_id", "source", "lang"))
-    return bpe_digests(bpe.decode(encoded, RANKS), "doc_id", "source", "lang", "ids")
+    kept = [c for c in ("doc_id", "source", "lang") if c in docs.columns]
+    return bpe_digests(bpe.encode(docs, RANKS, public_tokenizers.PATTERN, keep=kept, decoded=True), *kept, "ids")
 
 
 STAGES = [
