@@ -100,9 +100,11 @@ def test_smoothing_against_a_plain_search(spark):
     frame = trading(spark, short, "short").unionByName(trading(spark, long, "long"))
     rows = {r.series_key: r.fit for r in forecasting.fit_smoothing(forecasting.histories(forecasting.whole(frame))).collect()}
     for key, y in (("short", short), ("long", long)):
-        best = min(recursions.SMOOTHING_COARSE.T.tolist(), key=lambda w: smooth_by_hand(y, *w)[0])
-        tries = [[min(0.99, x * f) for x, f in zip(best, fs)] for fs in recursions.SMOOTHING_FINE.T.tolist()]
-        weights = min(tries, key=lambda w: smooth_by_hand(y, *w)[0])
+        weights = min(recursions.SMOOTHING_COARSE.T.tolist(), key=lambda w: smooth_by_hand(y, *w)[0])
+        for step in recursions.SMOOTHING_STEPS:
+            tries = [[min(0.99, max(0.0, x + d)) for x, d in zip(weights, ds)] for ds in itertools.product([-step, 0.0, step], repeat=3)]
+            least = min(smooth_by_hand(y, *w)[0] for w in tries)
+            weights = next(w for w in tries if smooth_by_hand(y, *w)[0] <= least * (1 + 1e-9))
         sse, level, trend, season = smooth_by_hand(y, *weights)
         fit = rows[key]
         assert (fit.alpha, fit.beta, fit.gamma) == tuple(pytest.approx(w) for w in weights)
@@ -185,11 +187,32 @@ def test_split_and_rolling_origin(spark):
     series = trading(spark, seasonal(103))
     counts = forecasting.split(series).groupBy("in_train").count().collect()
     assert {r.in_train: r["count"] for r in counts} == {True: 82, False: 21}
-    rolled = forecasting.rolling_origin(series, origins=4, ahead=3).collect()
-    assert sorted({r.origin for r in rolled}) == [97, 98, 99, 100] and len(rolled) == 12
     y = seasonal(103)
-    assert all(r.actual == pytest.approx(y[r.origin + r.ahead - 1]) for r in rolled)
-    assert forecasting.rolling_errors(forecasting.rolling_origin(series, 4, 3)).count() == 3
+    rolled = forecasting.rolling_origin(series, ahead=3)
+    fit = forecasting.fit_smoothing(forecasting.histories(forecasting.training_part(series))).first().fit
+    got = {(r.origin, r.ahead): r for r in rolled.collect()}
+    assert set(got) == {(o, h) for o in range(82, 101) for h in (1, 2, 3)}  # every day of the hold-out with three more to come
+    for origin in range(82, 101):  # the states of a run over the whole past with the same weights
+        _, level, trend, season = smooth_by_hand(y[:origin], fit.alpha, fit.beta, fit.gamma)
+        for h in (1, 2, 3):
+            row = got[origin, h]
+            assert (row.actual, row.predicted) == (pytest.approx(y[origin + h - 1]), pytest.approx(level + h * trend + season[h - 1]))
+    assert forecasting.rolling_errors(rolled).count() == 3
+    short = series.filter("step <= 9")
+    assert forecasting.rolling_origin(short).count() == 0 == forecasting.rolling_origin(series.limit(0)).count()
+
+
+def test_smoothing_search_reaches_a_dense_grid():
+    pick, t = np.random.default_rng(0), np.arange(300)
+    bends = [0.5 * t, np.cumsum(np.cumsum(pick.normal(0, 0.3, 300))), np.abs(t - 150) * 1.5, 50 * np.sin(t / 25)]
+    rows = [500 + bend + 30 * np.sin(2 * np.pi * t / 6) + pick.normal(0, 10, 300) for bend in bends]
+    found = recursions._smoothing_rows(rows)
+    y, length = recursions._padded(rows)
+    axis = list(np.linspace(0, 0.99, 23))
+    grids = (recursions._grid([a], axis, axis) for a in axis)
+    dense = np.min([recursions._smooth(y, length, np.repeat(g[:, None, :], len(rows), axis=1))[0].min(1) for g in grids], axis=0)
+    assert (np.array(found["sse"]) <= dense * 1.001).all()
+    assert max(found["beta"]) > 0.2  # weights between those of the first grid
 
 
 def test_sigma_is_about_the_mean_error(spark):

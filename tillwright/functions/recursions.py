@@ -26,9 +26,9 @@ def _grid(*axes: list[float]) -> np.ndarray:
     return np.array(list(itertools.product(*axes))).T
 
 
-# Weights of level, trend and season tried first, then factors on the best set.
-SMOOTHING_COARSE = _grid([0.02, 0.1, 0.3, 0.6], [0.0, 0.01, 0.1], [0.02, 0.1, 0.3, 0.6])
-SMOOTHING_FINE = _grid([0.5, 1.0, 1.6], [0.5, 1.0, 1.6], [0.5, 1.0, 1.6])
+# Weights of level, trend and season tried first, then how far each refinement looks around the best set: it may leave the first grid.
+SMOOTHING_COARSE = _grid([0.02, 0.1, 0.3, 0.6], [0.0, 0.02, 0.1, 0.3], [0.02, 0.1, 0.3, 0.6])
+SMOOTHING_STEPS = [0.16, 0.08, 0.04, 0.02, 0.01, 0.005]
 
 # Coefficients φ, θ, Φ, Θ tried first, then the width of each refinement around the best set.
 _OWN, _SHOCK, _SEASONAL = [-0.4, 0.0, 0.4, 0.8], [-0.95, -0.7, -0.4, 0.0, 0.4], [-0.4, 0.0, 0.4]
@@ -91,30 +91,26 @@ def _shocks(w: np.ndarray, length: np.ndarray, coefficients: np.ndarray):
     return sse, [newest]
 
 
-def _search(run: Callable, data: np.ndarray, length: np.ndarray, coarse: np.ndarray, refinements: list[Callable]):
-    """Best set per series: the coarse grid, then each refinement around the best so far."""
+def _search(run: Callable, data: np.ndarray, length: np.ndarray, coarse: np.ndarray, refinements: list[Callable], tie: float = 0.0):
+    """Best set per series: the coarse grid, then each refinement around the best so far. Of errors within ``tie`` of the least, relatively, the first counts."""
     tries = np.repeat(coarse[:, None, :], len(data), axis=1)
     for refine in [None, *refinements]:
         if refine is not None:
             tries = refine(best)
         sse, states = run(data, length, tries)
-        pick, rows = sse.argmin(axis=1), np.arange(len(data))
+        pick, rows = (sse <= sse.min(axis=1, keepdims=True) * (1 + tie)).argmax(axis=1), np.arange(len(data))
         best = tries[:, rows, pick]
     return best, sse[rows, pick], [s[..., rows, pick] for s in states]
 
 
-def _around(step: np.ndarray) -> Callable:
+def _around(step: np.ndarray, lowest: float = -LIMIT) -> Callable:
     offsets = _grid(*[[-s, 0.0, s] if s else [0.0] for s in step])
-    return lambda best: np.clip(best[:, :, None] + offsets[:, None, :], -LIMIT, LIMIT)
-
-
-def _scaled(factors: np.ndarray) -> Callable:
-    return lambda best: np.clip(best[:, :, None] * factors[:, None, :], 0.0, LIMIT)
+    return lambda best: np.clip(best[:, :, None] + offsets[:, None, :], lowest, LIMIT)
 
 
 def _smoothing_rows(rows: list[np.ndarray]) -> dict[str, list]:
     y, length = _padded(rows)
-    (a, b, g), sse, (level, trend, season) = _search(_smooth, y, length, SMOOTHING_COARSE, [_scaled(SMOOTHING_FINE)])
+    (a, b, g), sse, (level, trend, season) = _search(_smooth, y, length, SMOOTHING_COARSE, [_around([s] * 3, 0.0) for s in SMOOTHING_STEPS], tie=1e-9)
     return {"alpha": a, "beta": b, "gamma": g, "sse": sse, "level": level, "trend": trend, "season": list(season.T)}
 
 

@@ -210,27 +210,49 @@ def statuses(series: DataFrame) -> DataFrame:
     )
 
 
-def rolling_origin(series: DataFrame, origins: int = 10, ahead: int = PERIOD) -> DataFrame:
-    """Smoothing refitted at each of the last ``origins`` days, judged a few days ahead.
+def rolling_origin(series: DataFrame, share: float = TRAIN_SHARE, ahead: int = PERIOD) -> DataFrame:
+    """Smoothing judged ``ahead`` days from every day of the hold-out, its states brought up to date daily.
 
-    One row per series, origin and step ahead. Each origin sees its past only.
+    Weights come from the training part once; one pass over the hold-out then
+    carries level, trend and season from day to day and gives the forecasts
+    at each origin, so a day costs the same however long the past is. One row
+    per series, origin and step ahead; a series too short for a fit has none.
     """
-    past = histories(whole(series, ahead))
-    cuts = past.withColumn(
-        "cut", F.explode(F.sequence(F.greatest(F.lit(2 * PERIOD), F.size("history") - ahead - origins + 1),
-                                    F.size("history") - ahead))
-    ).filter(F.size("history") >= F.col("cut") + ahead)
+    marked = split(series, share).withColumn("value", F.struct("step", "revenue"))
     width = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = cuts.repartition(width, "series_key", "cut").select(
-        "series_key", "cut", "horizon",
-        F.slice("history", F.lit(1), F.col("cut")).alias("history"),
-        F.slice("history", F.col("cut") + 1, ahead).alias("actual"),
-    )
-    fitted = fit_smoothing(spread).withColumn("path", smoothing_path(F.col("horizon")))
-    pairs = F.arrays_zip(F.col("actual").alias("actual"), F.col("path").alias("predicted"))
-    return fitted.select("series_key", F.col("cut").cast("bigint").alias("origin"), F.posexplode(pairs).alias("_h", "p")).select(
-        "series_key", "origin", (F.col("_h") + 1).cast("bigint").alias("ahead"), "p.actual", "p.predicted"
-    )
+
+    def values(part: Column) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.when(part, F.col("value")))), lambda e: e["revenue"])
+
+    past = marked.repartition(width, "series_key").groupBy("series_key").agg(
+        values(F.col("in_train")).alias("history"), values(~F.col("in_train")).alias("held"))
+    fitted = fit_smoothing(past).filter("fit IS NOT NULL AND fit.level IS NOT NULL")
+    return fitted.select("series_key", F.size("history").alias("cut"), "held", F.posexplode(_daily_states(ahead)).alias("day", "state")).select(
+        "series_key", (F.col("cut") + F.col("day")).cast("bigint").alias("origin"),
+        F.posexplode(F.transform(F.sequence(F.lit(1), F.lit(ahead)), lambda h: F.struct(
+            F.get("held", F.col("day") + h - 1).alias("actual"),
+            (F.col("state.level") + h * F.col("state.trend") + F.get("state.season", (h - 1) % PERIOD)).alias("predicted")))).alias("_h", "p"),
+    ).select("series_key", "origin", (F.col("_h") + 1).cast("bigint").alias("ahead"), "p.actual", "p.predicted")
+
+
+def _daily_states(ahead: int) -> Column:
+    """Level, trend and season after 0, 1, ... days of ``held``, as long as ``ahead`` days follow."""
+    fit, held = F.col("fit"), F.col("held")
+
+    def state(level: Column, trend: Column, season: Column) -> Column:
+        return F.struct(level.alias("level"), trend.alias("trend"), season.alias("season"))
+
+    def next_day(states: Column, value: Column) -> Column:
+        now = F.element_at(states, -1)
+        expected, old = now["level"] + now["trend"], F.get(now["season"], 0)
+        level = fit["alpha"] * (value - old) + (1 - fit["alpha"]) * expected
+        trend = fit["beta"] * (level - now["level"]) + (1 - fit["beta"]) * now["trend"]
+        season = F.concat(F.slice(now["season"], 2, PERIOD - 1), F.array(fit["gamma"] * (value - expected) + (1 - fit["gamma"]) * old))
+        return F.concat(states, F.array(state(level, trend, season)))
+
+    first = F.array(state(fit["level"], fit["trend"], fit["season"]))
+    days = F.slice(held, F.lit(1), F.greatest(F.size(held) - ahead, F.lit(0)))
+    return F.when(F.size(held) >= ahead, F.aggregate(days, first, next_day))
 
 
 def rolling_errors(rolled: DataFrame) -> DataFrame:

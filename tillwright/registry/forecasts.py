@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwright.functions.recursions import ARIMA_COARSE, ARIMA_STEPS, SMOOTHING_COARSE, SMOOTHING_FINE
+from tillwright.functions.recursions import ARIMA_COARSE, ARIMA_STEPS, SMOOTHING_COARSE, SMOOTHING_STEPS
 from tillwright.operators import anomalies, calendar, evaluation, forecasting, stationarity
 from tillwright.plans import charts, outlook, planning
 from tillwright.registry.common import Registry
@@ -111,7 +111,6 @@ def _(spark, d):
 def _smoothing_sql(name: str, source: str) -> str:
     """Coarse and refined search of the smoothing weights on ``source`` (series_key, step, revenue)."""
     coarse = ", ".join(f"({i}, {a}, {b}, {g})" for i, (a, b, g) in enumerate(SMOOTHING_COARSE.T.tolist()))
-    fine = ", ".join(f"({i}, {a}, {b}, {g})" for i, (a, b, g) in enumerate(SMOOTHING_FINE.T.tolist()))
 
     def run(stage: str, tries: str) -> str:
         return f"""{stage} AS (
@@ -123,19 +122,23 @@ def _smoothing_sql(name: str, source: str) -> str:
   FROM (SELECT r.*, x.revenue AS y, r.a * (x.revenue - r.season[1]) + (1 - r.a) * (r.level + r.trend) AS moved
         FROM {stage} r JOIN {source} x ON x.series_key = r.series_key AND x.step = r.step + 1))"""
 
-    def best(stage: str) -> str:
+    def best(stage: str) -> str:  # of errors equal to nine places the first try counts
         return f"""{stage}_best AS (SELECT series_key, arg_min(struct_pack(a := a, b := b, g := g, sse := sse, level := level,
-    trend := trend, season := season), sse) AS f FROM {stage} JOIN {name}_start USING (series_key) WHERE step = n GROUP BY 1)"""
+    trend := trend, season := season), i) AS f FROM (SELECT r.*, min(sse) OVER (PARTITION BY series_key) AS least_sse
+    FROM {stage} r JOIN {name}_start USING (series_key) WHERE step = n) WHERE sse <= least_sse * (1 + 1e-9) GROUP BY 1)"""
 
-    return f"""{name}_start AS (SELECT series_key, list_avg(list(revenue ORDER BY step)[1:6]) AS l0,
+    parts = [f"""{name}_start AS (SELECT series_key, list_avg(list(revenue ORDER BY step)[1:6]) AS l0,
   list(revenue ORDER BY step)[1:6] AS first6, max(step) AS n FROM {source} GROUP BY 1 HAVING count(*) >= 12),
-{name}_t1 AS (SELECT series_key, i, a::DOUBLE AS a, b::DOUBLE AS b, g::DOUBLE AS g FROM {name}_start, (VALUES {coarse}) v(i, a, b, g)),
-{run(name + '_c', name + '_t1')}, {best(name + '_c')},
-{name}_t2 AS (SELECT series_key, i, least(f.a * a, 0.99) AS a, least(f.b * b, 0.99) AS b, least(f.g * g, 0.99) AS g
-  FROM {name}_c_best, (VALUES {fine}) v(i, a, b, g)),
-{run(name + '_r', name + '_t2')}, {best(name + '_r')},
-{name} AS (SELECT series_key, f.a AS a, f.b AS b, f.g AS g, f.sse AS sse, f.level AS level, f.trend AS trend, f.season AS season
-  FROM {name}_r_best)"""
+{name}_t0 AS (SELECT series_key, i, a::DOUBLE AS a, b::DOUBLE AS b, g::DOUBLE AS g FROM {name}_start, (VALUES {coarse}) v(i, a, b, g)),
+{run(name + '_r0', name + '_t0')}, {best(name + '_r0')}"""]
+    for k, z in enumerate(SMOOTHING_STEPS, start=1):
+        lists = ", ".join(f"(SELECT unnest([-{z}, 0.0, {z}]) AS d{c}, unnest([0, 1, 2]) AS i{c})" for c in "abg")
+        near = ", ".join(f"greatest(0.0, least(0.99, f.{c} + d{c}))::DOUBLE AS {c}" for c in "abg")
+        parts.append(f"""{name}_t{k} AS (SELECT series_key, 9 * ia + 3 * ib + ig AS i, {near} FROM {name}_r{k - 1}_best, {lists}),
+{run(f'{name}_r{k}', f'{name}_t{k}')}, {best(f'{name}_r{k}')}""")
+    parts.append(f"""{name} AS (SELECT series_key, f.a AS a, f.b AS b, f.g AS g, f.sse AS sse, f.level AS level, f.trend AS trend, f.season AS season
+  FROM {name}_r{len(SMOOTHING_STEPS)}_best)""")
+    return ",\n".join(parts)
 
 
 def _arima_sql(name: str, source: str, seasonal: bool, horizons: str) -> str:
@@ -257,46 +260,11 @@ def _(spark, d):
     return _coming(spark, d)
 
 
-@add("closures_as_zero", f"""WITH RECURSIVE {AHEAD} SELECT series_key, strftime(ds, '%Y-%m-%d') AS ds,
-  CASE WHEN expected_closure THEN 0 ELSE predicted END AS predicted, CASE WHEN expected_closure THEN 0 ELSE upper95 END AS upper95 FROM fc""")
-def _(spark, d):
-    return planning.closures_as_zero(_coming(spark, d)).select("series_key", "ds", "predicted", "upper95")
-
-
-@add("operating_calendar", f"""WITH RECURSIVE {PLAN} SELECT series_key, strftime(ds, '%Y-%m-%d') AS ds, predicted,
-  round(doubt, 3) AS relative_uncertainty, round(high_cut, 4) AS high_cut, round(low_cut, 4) AS low_cut,
-  round(doubt_cut, 5) AS doubt_cut, is_peak, is_trough, is_volatile FROM marks""")
-def _(spark, d):
-    days = planning.operating_calendar(_coming(spark, d))
-    return _rounded(_rounded(days, "high_cut", "low_cut"), "doubt_cut", places=5).select(
-        "series_key", "ds", "predicted", "relative_uncertainty", "high_cut", "low_cut", "doubt_cut",
-        "is_peak", "is_trough", "is_volatile")
-
-
-@add("key_days", f"""WITH RECURSIVE {PLAN}, r AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY predicted DESC, ds) AS hi,
-  row_number() OVER (PARTITION BY series_key ORDER BY predicted, ds) AS lo FROM opened),
-  e AS (SELECT *, 'top' AS "end", hi AS place FROM r WHERE hi <= 5 UNION ALL SELECT *, 'bottom', lo FROM r WHERE lo <= 5)
-  SELECT series_key, "end", place, strftime(ds, '%Y-%m-%d') AS ds, weekday_name, predicted, lower95, upper95,
-  round(predicted * 1.2, 2) AS stock FROM e""")
-def _(spark, d):
-    return planning.key_days(_coming(spark, d))
-
-
 @add("stock_plan", f"WITH RECURSIVE {PLAN} {_STOCK}")
 def _(spark, d):
     return planning.stock_plan(_coming(spark, d))
 
 
-@add("plan_totals", f"""WITH RECURSIVE {PLAN} SELECT series_key, count(*) AS open_days, round(sum(predicted), 2) AS total_predicted,
-  round(avg(predicted), 2) AS mean_predicted, round(any_value(high_cut), 2) AS high_cut, round(any_value(low_cut), 2) AS low_cut,
-  round(any_value(doubt_cut), 3) AS doubt_cut, count(*) FILTER (is_peak) AS peak_days, count(*) FILTER (is_trough) AS trough_days,
-  count(*) FILTER (is_volatile) AS volatile_days, round(sum(predicted) FILTER (is_peak) * 1.2, 2) AS peak_stock,
-  coalesce(string_agg(DISTINCT weekday_name, ',' ORDER BY weekday_name) FILTER (is_volatile), '') AS volatile_weekdays,
-  count(DISTINCT weekday_name) FILTER (is_volatile) = 1 AS one_volatile_weekday FROM marks GROUP BY 1""")
-def _(spark, d):
-    return planning.plan_totals(_coming(spark, d))
-
-
 STAFF = f"""{SERIES}, {PATTERN}, ranks AS (SELECT *, row_number() OVER (PARTITION BY series_key, pattern ORDER BY mean_revenue DESC, slot) AS hi,
   row_number() OVER (PARTITION BY series_key, pattern ORDER BY mean_revenue, slot) AS lo FROM pattern),
 staff AS (SELECT series_key, CASE WHEN pattern = 'weekday' AND hi <= 2 THEN 'peak_weekday_' || hi
@@ -386,12 +354,54 @@ def _(spark, d):
     return outlook.coming_days(outlook.hold_out(trading(spark, d)))
 
 
-@add("best_forecast_stock_plan", f"""WITH RECURSIVE {ALL_AHEAD}, chosen AS (SELECT all_fc.* FROM all_fc JOIN best USING (series_key, model)),
-  {_plan_sql('chosen')} {_STOCK}""")
-def _(spark, d):
+BEST = f"{ALL_AHEAD}, chosen AS (SELECT all_fc.* FROM all_fc JOIN best USING (series_key, model))"
+BEST_PLAN = f"{BEST}, {_plan_sql('chosen')}"
+
+
+def _chosen(spark, d):
+    """The coming days by each series' best model, on which plans rest."""
     held = outlook.hold_out(trading(spark, d))
-    ahead = outlook.coming_days(held)
-    return planning.stock_plan(outlook.best_forecast(ahead, held.best))
+    return outlook.best_forecast(outlook.coming_days(held), held.best)
+
+
+@add("best_forecast_stock_plan", f"WITH RECURSIVE {BEST_PLAN} {_STOCK}")
+def _(spark, d):
+    return planning.stock_plan(_chosen(spark, d))
+
+
+@add("closures_as_zero", f"""WITH RECURSIVE {BEST} SELECT series_key, strftime(ds, '%Y-%m-%d') AS ds,
+  CASE WHEN expected_closure THEN 0 ELSE predicted END AS predicted, CASE WHEN expected_closure THEN 0 ELSE upper95 END AS upper95 FROM chosen""")
+def _(spark, d):
+    return planning.closures_as_zero(_chosen(spark, d)).select("series_key", "ds", "predicted", "upper95")
+
+
+@add("operating_calendar", f"""WITH RECURSIVE {BEST_PLAN} SELECT series_key, strftime(ds, '%Y-%m-%d') AS ds, predicted,
+  round(doubt, 3) AS relative_uncertainty, round(high_cut, 4) AS high_cut, round(low_cut, 4) AS low_cut,
+  round(doubt_cut, 5) AS doubt_cut, is_peak, is_trough, is_volatile FROM marks""")
+def _(spark, d):
+    days = planning.operating_calendar(_chosen(spark, d))
+    return _rounded(_rounded(days, "high_cut", "low_cut"), "doubt_cut", places=5).select(
+        "series_key", "ds", "predicted", "relative_uncertainty", "high_cut", "low_cut", "doubt_cut",
+        "is_peak", "is_trough", "is_volatile")
+
+
+@add("key_days", f"""WITH RECURSIVE {BEST_PLAN}, r AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY predicted DESC, ds) AS hi,
+  row_number() OVER (PARTITION BY series_key ORDER BY predicted, ds) AS lo FROM opened),
+  e AS (SELECT *, 'top' AS "end", hi AS place FROM r WHERE hi <= 5 UNION ALL SELECT *, 'bottom', lo FROM r WHERE lo <= 5)
+  SELECT series_key, "end", place, strftime(ds, '%Y-%m-%d') AS ds, weekday_name, predicted, lower95, upper95,
+  round(predicted * 1.2, 2) AS stock FROM e""")
+def _(spark, d):
+    return planning.key_days(_chosen(spark, d))
+
+
+@add("plan_totals", f"""WITH RECURSIVE {BEST_PLAN} SELECT series_key, count(*) AS open_days, round(sum(predicted), 2) AS total_predicted,
+  round(avg(predicted), 2) AS mean_predicted, round(any_value(high_cut), 2) AS high_cut, round(any_value(low_cut), 2) AS low_cut,
+  round(any_value(doubt_cut), 3) AS doubt_cut, count(*) FILTER (is_peak) AS peak_days, count(*) FILTER (is_trough) AS trough_days,
+  count(*) FILTER (is_volatile) AS volatile_days, round(sum(predicted) FILTER (is_peak) * 1.2, 2) AS peak_stock,
+  coalesce(string_agg(DISTINCT weekday_name, ',' ORDER BY weekday_name) FILTER (is_volatile), '') AS volatile_weekdays,
+  count(DISTINCT weekday_name) FILTER (is_volatile) = 1 AS one_volatile_weekday FROM marks GROUP BY 1""")
+def _(spark, d):
+    return planning.plan_totals(_chosen(spark, d))
 
 
 @add("figure_hold_out", f"""WITH RECURSIVE {ALL_HELD} SELECT series_key, model, strftime(ds, '%Y-%m-%d') AS ds, actual,
@@ -407,23 +417,24 @@ def _(spark, d):
     return forecasting.statuses(tables.customer_days(spark, d))
 
 
-@add("rolling_origin_errors", f"""WITH RECURSIVE {SERIES}, ns AS (SELECT series_key AS k, count(*) AS n FROM ts GROUP BY 1),
-  origins AS (SELECT k, unnest(range(greatest(12, n - 15), n - 5)) AS cut FROM ns),
-  past AS (SELECT k || '@' || cut AS series_key, step, revenue FROM origins JOIN ts ON ts.series_key = k AND step <= cut),
-  {_smoothing_sql('ro', 'past')},
-  judged AS (SELECT k AS series_key, ts.step - cut AS ahead, ts.revenue - (level + (ts.step - cut) * trend + season[ts.step - cut]) AS miss
-    FROM origins JOIN ro ON ro.series_key = k || '@' || cut JOIN ts ON ts.series_key = k AND ts.step BETWEEN cut + 1 AND cut + 6)
+@add("rolling_origin_errors", f"""WITH RECURSIVE {TRAIN}, refreshed AS (
+  SELECT series_key, a, b, g, cut AS step, level, trend, season FROM hw JOIN cuts USING (series_key)
+  UNION ALL
+  SELECT series_key, a, b, g, step + 1, moved, b * (moved - level) + (1 - b) * trend, list_append(season[2:], g * (y - (level + trend)) + (1 - g) * season[1])
+  FROM (SELECT r.*, x.revenue AS y, r.a * (x.revenue - r.season[1]) + (1 - r.a) * (r.level + r.trend) AS moved
+        FROM refreshed r JOIN ts x ON x.series_key = r.series_key AND x.step = r.step + 1)),
+  judged AS (SELECT d.series_key, ts.step - d.step AS ahead, ts.revenue - (level + (ts.step - d.step) * trend + season[ts.step - d.step]) AS miss
+    FROM refreshed d JOIN cuts USING (series_key) JOIN ts ON ts.series_key = d.series_key AND ts.step BETWEEN d.step + 1 AND d.step + 6 WHERE d.step <= n - 6)
   SELECT series_key, ahead, count(*) AS origins, round(sqrt(avg(miss * miss)), 4) AS rmse, round(avg(abs(miss)), 4) AS mae
   FROM judged GROUP BY 1, 2""")
 def _(spark, d):
     return _rounded(forecasting.rolling_errors(forecasting.rolling_origin(durable(trading(spark, d)))), "rmse", "mae")
 
 
-@add("figure_forecast", f"""WITH RECURSIVE {AHEAD}, recent AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ds DESC) AS r FROM ts)
+@add("figure_forecast", f"""WITH RECURSIVE {ALL_AHEAD}, recent AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY ds DESC) AS r FROM ts)
   SELECT series_key, 'history' AS line, strftime(ds, '%Y-%m-%d') AS ds, revenue AS value, NULL::DOUBLE AS lower95,
   NULL::DOUBLE AS upper95, false AS expected_closure FROM recent WHERE r <= 60
-  UNION ALL SELECT series_key, 'holt_winters', strftime(ds, '%Y-%m-%d'), predicted, lower95, upper95, expected_closure FROM fc""")
+  UNION ALL SELECT series_key, model, strftime(ds, '%Y-%m-%d'), predicted, lower95, upper95, expected_closure FROM all_fc""")
 def _(spark, d):
-    held = _held(spark, d)
-    ahead = outlook.coming_days(held, outlook.smoothing_only)
-    return charts.forecast_lines(held.series, ahead)
+    held = outlook.hold_out(trading(spark, d))
+    return charts.forecast_lines(held.series, outlook.coming_days(held))
