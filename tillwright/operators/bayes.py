@@ -218,6 +218,11 @@ def sequential(events: DataFrame, block: int = BLOCK, prior: tuple[float, float]
         F.max(F.col("impression_before") + 1).alias("impressions_so_far"),
         F.max(F.col("click_before") + F.col("click")).alias("clicks_so_far"),
     )
+    return block_posteriors(blocks, prior)
+
+
+def block_posteriors(blocks: DataFrame, prior: tuple[float, float] = PRIOR) -> DataFrame:
+    """Blocks with the posterior of the block before as prior, and their own."""
     a = prior[0] + F.col("clicks_so_far") - F.col("clicks")
     n = F.col("impressions_so_far") - F.col("impressions")
     b = prior[1] + n - (F.col("clicks_so_far") - F.col("clicks"))

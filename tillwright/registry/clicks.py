@@ -177,19 +177,30 @@ def _(spark, d):
                                     F.round(bayes.likelihood(*args), 8).alias("likelihood"))
 
 
-@add("click_sequential", f"""WITH {TRIALS}, o AS (SELECT *, row_number() OVER (PARTITION BY ad_id ORDER BY ts, event_id) - 1 AS k FROM ev),
+ORACLE_SEQUENTIAL = f"""WITH {TRIALS}, o AS (SELECT *, row_number() OVER (PARTITION BY ad_id ORDER BY ts, event_id) - 1 AS k FROM ev),
   b AS (SELECT ad_id, k // 200 AS block, count(*) AS impressions, count(*) FILTER (event_type = 'click') AS clicks FROM o GROUP BY 1, 2),
   c AS (SELECT *, sum(impressions) OVER w AS n, sum(clicks) OVER w AS z FROM b WINDOW w AS (PARTITION BY ad_id ORDER BY block))
   SELECT ad_id, block, impressions, clicks, CAST(n AS BIGINT) AS impressions_so_far, CAST(z AS BIGINT) AS clicks_so_far,
   CAST(10 + z - clicks AS DOUBLE) AS alpha_prior, CAST(200 + n - impressions - z + clicks AS DOUBLE) AS beta_prior,
-  CAST(10 + z AS DOUBLE) AS alpha_post, CAST(200 + n - z AS DOUBLE) AS beta_post, round((10 + z) / (210 + n), 6) AS post_mean FROM c""")
+  CAST(10 + z AS DOUBLE) AS alpha_post, CAST(200 + n - z AS DOUBLE) AS beta_post, round((10 + z) / (210 + n), 6) AS post_mean FROM c"""
+
+
+@add("click_sequential", ORACLE_SEQUENTIAL)
 def _(spark, d):
     return _rounded(bayes.sequential(tables.events(spark, d)), "post_mean")
 
 
-@add("click_stream", f"""WITH {TRIALS} SELECT ad_id, impressions, clicks, CAST(a1 AS DOUBLE) AS alpha_post,
+STREAMED = f"""WITH {TRIALS} SELECT ad_id, impressions, clicks, CAST(a1 AS DOUBLE) AS alpha_post,
   CAST(b1 AS DOUBLE) AS beta_post, round(a1 / (a1 + b1), 6) AS post_mean,
-  CASE WHEN 1 - {cdf('a1', 'b1', str(GATE))} >= 0.9 THEN 'roll_out' ELSE 'hold' END AS decision FROM post""")
+  CASE WHEN 1 - {cdf('a1', 'b1', str(GATE))} >= 0.9 THEN 'roll_out' ELSE 'hold' END AS decision FROM post"""
+
+
+def _decisions(spark, counts, run):
+    stream.start(counts, f"{run}/out", f"{run}/state", available_now=True, above=GATE).awaitTermination()
+    return _rounded(stream.latest(spark, f"{run}/out"), "post_mean").drop("post_sd", "p_above")
+
+
+@add("click_stream", STREAMED)
 def _(spark, d):
     """The events read as a stream to its end, then the newest decision per ad.
 
@@ -202,5 +213,26 @@ def _(spark, d):
     events = stream.event_stream(spark, f"{d}/events.parque[t]", schema).filter(F.col("event_type").isin("view", "click"))
     events = events.withColumn("ad_id", (F.col("user_id") % 10).cast("string"))
     counts = stream.running_trials(events)
-    stream.start(counts, f"{run}/out", f"{run}/state", available_now=True, above=GATE).awaitTermination()
-    return _rounded(stream.latest(spark, f"{run}/out"), "post_mean").drop("post_sd", "p_above")
+    return _decisions(spark, counts, run)
+
+
+@add("click_stream_redelivered", STREAMED)
+def _(spark, d):
+    """All events delivered twice and out of order, a slot apart; the watermark covers the delay, so each counts once and none is turned away."""
+    run = f"{shared_folder(spark)}/click_stream-{uuid.uuid4().hex}"
+    rows = tables.events(spark, d)
+    delay = stream.deliver(rows, f"{run}/in", slots=4, again=True)
+    events = stream.event_stream(spark, f"{run}/in", rows.schema, files_per_batch=4)
+    return _decisions(spark, stream.running_trials(events, duplicates_within=delay), run)
+
+
+@add("click_sequential_stream", ORACLE_SEQUENTIAL)
+def _(spark, d):
+    """Half of the events, then the other half after a restart from the checkpoint."""
+    run = f"{shared_folder(spark)}/click_blocks-{uuid.uuid4().hex}"
+    rows = tables.events(spark, d)
+    for first, last in ((0, 2), (2, 4)):
+        stream.deliver(rows, f"{run}/in", slots=4, first=first, last=last)
+        blocks = stream.posterior_blocks(stream.event_stream(spark, f"{run}/in", rows.schema, files_per_batch=4))
+        stream.run_blocks(blocks, f"{run}/out", f"{run}/state")
+    return _rounded(stream.block_posteriors(spark, f"{run}/out"), "post_mean")
