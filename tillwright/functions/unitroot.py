@@ -1,4 +1,4 @@
-"""The unit-root regression as a vectorised UDF over one array per series."""
+"""The unit-root regression from sums of products, one small solve per series."""
 
 from __future__ import annotations
 
@@ -16,43 +16,52 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _NOTHING = (None, None, None)
 
 
-def _triangle(level: np.ndarray, change: np.ndarray, first: int, lags: int) -> np.ndarray:
-    """The triangular factor of constant, level, ``lags`` earlier changes and, last, the change, from place ``first`` on."""
-    earlier = [change[first - k:len(change) - k] for k in range(1, lags + 1)]
-    return np.linalg.qr(np.column_stack([np.ones(len(change) - first), level[first:], *earlier, change[first:]]), "r")
+def _least(gram: np.ndarray, pivots: int) -> tuple[np.ndarray, np.ndarray | None]:
+    """Residual sum of squares of the last column after 0, 1, ... regressors, and the triangle; regressors without own variation end it."""
+    size = len(gram)
+    scale = 1 / np.sqrt(np.maximum(np.diag(gram), 1e-300))
+    work, rss = gram * scale[:, None] * scale[None, :], []
+    lower = np.zeros((size, size))
+    for k in range(pivots):
+        rss.append(work[-1, -1])
+        if work[k, k] <= 1e-13:
+            return np.array(rss) / scale[-1] ** 2, None
+        lower[:, k] = work[:, k] / math.sqrt(work[k, k])
+        lower[:k, k] = 0
+        work = work - np.outer(lower[:, k], lower[:, k])
+    return np.array([*rss, work[-1, -1]]) / scale[-1] ** 2, lower / scale[:, None]
 
 
-def _fitted(values: np.ndarray) -> tuple:
-    """Lag order, number of observations and statistic; nothing for a constant series or one without a degree of freedom."""
-    y = np.array([v for v in values if v is not None], float)
-    y = y[np.isfinite(y)]
-    spread = y.std() if len(y) else 0.0
-    if len(y) < 4 or not spread > 0:
+def _fitted(n: int, cap: int, packed: np.ndarray, early: list) -> tuple:
+    """Lag order, number of observations and statistic from sums of products of (1, level, change, lags) over the common sample and the rows before it."""
+    width = int((math.sqrt(8 * len(packed) + 1) - 1) / 2)
+    whole = np.zeros((width, width))
+    whole[np.triu_indices(width)] = packed
+    whole = whole + np.triu(whole, 1).T
+    order = [0, 1, *range(3, 3 + cap), 2]  # the change is the target
+    rows = n - 1 - cap
+    if n < 4:
         return _NOTHING
-    z = (y - y.mean()) / spread  # for conditioning; the statistic does not change by it
-    level, change = z[:-1], np.diff(z)
-    cap = max(0, min(math.ceil(12 * (len(y) / 100) ** 0.25), len(y) // 2 - 2))
-    n = len(change) - cap
-    rest = _triangle(level, change, cap, cap)[:, -1] ** 2
-    # The rows of the last column below a model's regressors are its residual sum of squares.
-    rss = np.maximum(np.cumsum(rest[::-1])[::-1][2:], 1e-300)
-    lags = int(np.argmin(n * np.log(rss / n) + 2 * np.arange(2, len(rss) + 2)))
-    r, n, width = _triangle(level, change, lags, lags), len(change) - lags, lags + 2
-    if n <= width:
+    rss = np.maximum(_least(whole[np.ix_(order, order)], cap + 2)[0][2:], 1e-300)
+    lags = int(np.argmin(rows * np.log(rss / rows) + 2 * np.arange(2, len(rss) + 2)))
+    own = whole + sum((np.outer(x, x) for x in map(np.asarray, early[lags:])), np.zeros((width, width)))
+    rows, pivots = n - 1 - lags, lags + 2
+    if rows <= pivots:
         return _NOTHING
-    own, size = r[:width, :width], np.abs(np.diag(r)[:width])
-    if size.min() <= 1e-10 * size.max() or not abs(r[width, width]) > 1e-12 * size.max():
-        return lags, n, None
-    inverse = np.linalg.inv(own)
-    slope = inverse[1] @ r[:width, width]
-    return lags, n, float(slope / (abs(r[width, width]) / math.sqrt(n - width) * np.linalg.norm(inverse[1])))
+    order = [0, 1, *range(3, 3 + lags), 2]
+    rest, lower = _least(own[np.ix_(order, order)], pivots)
+    if lower is None or not rest[-1] > 1e-20 * own[2, 2]:
+        return lags, rows, None
+    left = np.linalg.inv(lower[:pivots, :pivots])
+    slope = left[:, 1] @ lower[pivots, :pivots]
+    return lags, rows, float(slope / (math.sqrt(rest[-1] / (rows - pivots)) * np.linalg.norm(left[:, 1])))
 
 
-def unit_root_fit(history: Column) -> Column:
-    """lag_order, n_obs and adf_stat of every array of values in order; NULL values are left out."""
+def unit_root_fit(n: Column, cap: Column, gram: Column, early: Column) -> Column:
+    """lag_order, n_obs and adf_stat. gram: upper triangle of the sums, row by row; early: the vectors before the common sample, in order."""
     @F.pandas_udf("lag_order int, n_obs long, adf_stat double")
-    def fit(arrays: pd.Series) -> pd.DataFrame:
-        found = pd.DataFrame([_fitted(a) for a in arrays], columns=["lag_order", "n_obs", "adf_stat"])
+    def fit(n: pd.Series, cap: pd.Series, gram: pd.Series, early: pd.Series) -> pd.DataFrame:
+        found = pd.DataFrame([_fitted(*row) for row in zip(n, cap, gram, early)], columns=["lag_order", "n_obs", "adf_stat"])
         return found.astype({"lag_order": "Int32", "n_obs": "Int64", "adf_stat": "float64"})
 
-    return fit(history)
+    return fit(n, cap, gram, early)
