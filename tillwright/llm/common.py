@@ -64,17 +64,20 @@ def _by_value(rows: pa.Table, lead: str | None) -> Iterator[pa.Table]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, grade: str, bound: int, keep: Column | None = None) -> DataFrame:
-    """doc_id, text and grade of at most ``bound`` labelled documents, chosen by hash of the id.
+    """doc_id, text and grade of at most ``bound`` labelled documents, one row each, chosen by hash of the id.
 
-    A document with several labels takes the largest; null labels and ids are no
-    labels. The chosen ids are at most ``bound`` rows, so Spark may broadcast them.
+    A document with several labels takes the largest, one with several texts that of
+    the least hash; null labels and ids are no labels. The chosen ids are at most
+    ``bound`` rows, so they may be broadcast.
     """
     one = labels.where(F.col("doc_id").isNotNull() & F.col(grade).isNotNull())
     if keep is not None:
         one = one.where(keep)
     one = one.groupBy("doc_id").agg(F.max(grade).alias("grade"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")
+    return found.groupBy("doc_id", "grade").agg(least).select("doc_id", F.col("least.text").alias("text"), "grade")
 
 
 def passing(docs: DataFrame, *added: str) -> list[str]:

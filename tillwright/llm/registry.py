@@ -43,11 +43,11 @@ def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = sketch.edited_pairs(table(spark, folder, "documents"), fraction=1)
+    pairs = sketch.edited_pairs(table(spark, folder, "documents"))
     return pairs.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), sketch.fingerprint("sketch").alias("fingerprint"),
-        sketch.fingerprint("edited_sketch").alias("edited_fingerprint"), sketch.containment("sketch", "edited_sketch", 1).alias("near_edited"),
-        sketch.containment("sketch", "next_sketch", 1).alias("near_next"))
+        sketch.fingerprint("edited_sketch").alias("edited_fingerprint"), sketch.containment("sketch", "edited_sketch").alias("near_edited"),
+        sketch.containment("sketch", "next_sketch").alias("near_next"))
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,13 +118,13 @@ ORACLES = {
         FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n""",
     "op5_nearest_neighbours": """
         WITH v AS (
-            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            SELECT vec_id, embedding::DOUBLE[] AS e, row_number() OVER () AS r FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
               AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
         SELECT query_id, rank::INT AS rank, vec_id, score FROM (
             SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score,
-                   row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+                   row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
+            FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
         WHERE rank <= 20""",
     "op8_line_dedup": """
         WITH lines AS (
