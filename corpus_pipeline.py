@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillwright.llm import bpe, linededup, mixing, quality, simhash
 from tillwright.llm.common import passing, table
 from tillwright.llm.registry import RANKS, bpe_digests
-from tillwright.session import shared_folder
+from tillwright.session import durable, shared_folder
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,11 +28,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that with the smallest doc_id (one row of it). Rows without doc_id stay."""
-    found = simhash.near_duplicates(docs, words=4, radius=4)
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    stay = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    return stay.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(stay.where("doc_id IS NULL"))
+    """One row of each near-duplicate group: the first by doc_id (null last), then by hash of the text, then by place.
+
+    Rows are numbered in a written copy and judged each, so unlike texts under one doc_id all stay.
+    """
+    rows = durable(docs.select(*passing(docs)).withColumn("_tw_row", F.monotonically_increasing_id()))
+    found = simhash.near_duplicates(rows.select(F.col("_tw_row").alias("doc_id"), "text"), words=4, radius=4)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_tw_row")
+    named = rows.select("_tw_row", place.alias("place")).join(found.select(F.col("doc_id").alias("_tw_row"), "component_id"), "_tw_row")
+    first = named.groupBy("component_id").agg(F.min("place").alias("place")).select("place._tw_row")
+    return rows.join(first, "_tw_row", "left_semi").select(*passing(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
