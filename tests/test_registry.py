@@ -16,7 +16,7 @@ from tillwright.registry import ORACLES, QUERIES, forecasts
 FOLDER = os.environ.get("TILLWRIGHT_TABLES", "/root/testdata/sf0.001")
 LONG = {n for n, sql in ORACLES.items() if "sa_path" in sql} | {
     "rolling_origin_errors", "smoothing_hold_out",
-    "smoothing_error_by_segment", "smoothing_forecast", "closures_as_zero", "operating_calendar", "key_days", "plan_totals",
+    "smoothing_error_by_segment", "smoothing_forecast", "forecast_csv", "closures_as_zero", "operating_calendar", "key_days", "plan_totals",
     "figure_forecast"}
 NAMES = [n for n in QUERIES if n not in LONG or os.environ.get("TILLWRIGHT_ALL")]
 

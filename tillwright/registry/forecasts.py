@@ -6,6 +6,8 @@ step per trading day.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tillwright.functions.recursions import ARIMA_COARSE, ARIMA_STEPS, SMOOTHING_COARSE, SMOOTHING_STEPS
@@ -13,8 +15,8 @@ from tillwright.operators import anomalies, calendar, evaluation, forecasting, s
 from tillwright.plans import charts, outlook, planning
 from tillwright.registry.common import Registry
 from tillwright.registry.series import NAME, PATTERN, SERIES, UPCOMING, trading
-from tillwright.session import durable
-from tillwright.sources import tables
+from tillwright.session import durable, shared_folder
+from tillwright.sources import sinks, tables
 
 registry = Registry()
 add = registry.add
@@ -254,8 +256,11 @@ def _(spark, d):
     return _rounded(_held(spark, d).by_segment, "rmse", "mae")
 
 
-@add("smoothing_forecast", f"""WITH RECURSIVE {AHEAD} SELECT series_key, 'holt_winters' AS model, step, strftime(ds, '%Y-%m-%d') AS ds,
-  weekday_name, predicted, lower95, upper95, width, expected_closure FROM fc""")
+_SMOOTHED = f"""WITH RECURSIVE {AHEAD} SELECT series_key, 'holt_winters' AS model, step, strftime(ds, '%Y-%m-%d') AS ds,
+  weekday_name, predicted, lower95, upper95, width, expected_closure FROM fc"""
+
+
+@add("smoothing_forecast", _SMOOTHED)
 def _(spark, d):
     return _coming(spark, d)
 
@@ -354,6 +359,15 @@ def _(spark, d):
     return outlook.coming_days(outlook.hold_out(trading(spark, d)))
 
 
+@add("forecast_csv", _SMOOTHED)
+def _(spark, d):
+    """The forecast table written as CSV, a folder per model, and read back with its types; the model comes from the folders."""
+    path = f"{shared_folder(spark)}/forecast-{uuid.uuid4().hex}"
+    rows = sinks.flat(_coming(spark, d))
+    sinks.write_csv(rows, path, partition_by="model")
+    return spark.read.option("header", True).schema(rows.schema).csv(path).select(*rows.columns)
+
+
 BEST = f"{ALL_AHEAD}, chosen AS (SELECT all_fc.* FROM all_fc JOIN best USING (series_key, model))"
 BEST_PLAN = f"{BEST}, {_plan_sql('chosen')}"
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F, types as T
 
@@ -10,6 +11,7 @@ from tillwright.functions import scalars
 from tillwright.operators import facts, kpi
 from tillwright.plans import charts, mart
 from tillwright.registry.common import DETAIL, PRODUCTS, SALES, STORES, Registry
+from tillwright.session import shared_folder
 from tillwright.sources import files, schemas, sinks, tables
 
 registry = Registry()
@@ -41,6 +43,21 @@ def _(spark, d):
     return spark.table("sales")
 
 
+@add("star_from_csv", f"""WITH {SALES}, {PRODUCTS}, {STORES} SELECT sale_id, s.product_id, s.store_id, strftime(sale_date, '%Y-%m-%d') AS sale_date,
+  CAST(quantity AS BIGINT) AS quantity, CAST(total_amount AS DOUBLE) AS total_amount, product_name, category,
+  CAST(cost_price AS DOUBLE) AS cost_price, store_location, CAST(monthly_rent AS DOUBLE) AS monthly_rent
+  FROM sales s LEFT JOIN products p ON p.product_id = s.product_id LEFT JOIN stores t ON t.store_id = s.store_id""")
+def _(spark, d):
+    """The three tables written as CSV, loaded back with their types and joined."""
+    folder = f"{shared_folder(spark)}/star-{uuid.uuid4().hex}"
+    dated = tables.sales(spark, d).withColumn("sale_date", F.date_format("sale_date", "yyyy/M/d"))
+    sinks.write_csv(dated, f"{folder}/sales.csv")
+    sinks.write_csv(tables.products(spark, d).withColumn("retail_price", F.col("cost_price")), f"{folder}/products.csv")
+    sinks.write_csv(tables.stores(spark, d), f"{folder}/stores.csv")
+    products, sales, stores = files.load_star(spark, folder)
+    return sales.join(products.drop("retail_price"), "product_id", "left").join(stores, "store_id", "left")
+
+
 @add("typed_rows", f"""WITH {SALES} SELECT year(sale_date) AS sale_year, count(*) AS rows_typed,
   CAST(sum(quantity) AS BIGINT) AS total_units, CAST(sum(total_amount) AS DOUBLE) AS total_revenue,
   CAST(sum(CASE WHEN quantity % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS rejected_quantity

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tillwright.functions.scalars import weekday_label
 from tillwright.operators import anomalies, calendar, cleaning, decomposition
 from tillwright.plans import charts
 from tillwright.registry.common import Registry
-from tillwright.sources import tables
+from tillwright.session import shared_folder
+from tillwright.sources import files, schemas, sinks, tables
 
 registry = Registry()
 add = registry.add
@@ -258,3 +261,20 @@ def _(spark, d):
 def _(spark, d):
     bars = charts.pattern_bars(anomalies.weekday_month_pattern(trading(spark, d)))
     return bars.withColumn("mean_revenue", F.round("mean_revenue", 4))
+
+
+@add("log_from_gb18030", f"""WITH {TX} SELECT invoice_no, stock_code, '纸灯笼 £' || stock_code AS description, CAST(quantity AS BIGINT) AS quantity,
+  strftime(invoice_ts, '%Y-%m-%d %H:%M:%S') AS invoice_ts, CAST(unit_price AS DOUBLE) AS unit_price, customer_id FROM tx""")
+def _(spark, d):
+    """The transaction log written as GB18030 text and read back with its types."""
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # as in the session's defaults
+    path = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}.csv"
+    log = tables.transactions(spark, d).select(
+        F.col("invoice_no").alias("InvoiceNo"), F.col("stock_code").alias("StockCode"), F.concat(F.lit("纸灯笼 £"), "stock_code").alias("Description"),
+        F.col("quantity").alias("Quantity"), F.date_format("invoice_ts", "yyyy-MM-dd HH:mm:ss").alias("InvoiceDate"),
+        F.col("unit_price").alias("UnitPrice"), F.col("customer_id").alias("CustomerID"))
+    sinks.write_csv(log, path, encoding="gb18030")
+    described = files.standardise(files.text_scan(spark, path, schemas.TRANSACTIONS, "gb18030"), schemas.TRANSACTIONS)
+    return described.select(
+        F.col("InvoiceNo").alias("invoice_no"), F.col("StockCode").alias("stock_code"), F.col("Description").alias("description"),
+        F.col("Quantity").alias("quantity"), F.col("InvoiceDate").alias("invoice_ts"), F.col("UnitPrice").alias("unit_price"), F.col("CustomerID").alias("customer_id"))

@@ -36,8 +36,10 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-    several = not spark.sparkContext.master.startswith("local")
-    if several and folder.startswith(("file:", "/")) and not spark.conf.get("spark.hadoop.fs.defaultFS", ""):
+    master = spark.sparkContext.master
+    several = not master.startswith("local") or master.startswith("local-cluster")
+    named = spark.conf.get("spark.checkpoint.dir", None) is not None  # whoever runs the cluster vouches for that folder
+    if several and not named and (folder.startswith("file:") or folder.startswith("/") and not spark.conf.get("spark.hadoop.fs.defaultFS", "")):
         raise RuntimeError(f"{folder} is local to each machine; set spark.checkpoint.dir to a folder that all executors share")
     return folder
 

@@ -44,9 +44,9 @@ def shard_of(key: Column, digits: int = 2) -> Column:
     return F.substring(F.md5(key.cast("string")), 1, digits)
 
 
-def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Headed UTF-8 CSV; one folder per value of ``partition_by``."""
-    writer = df.write.mode("overwrite").option("header", True)
+def write_csv(df: DataFrame, path: str, partition_by: str | None = None, encoding: str = "UTF-8") -> None:
+    """Headed CSV; one folder per value of ``partition_by``."""
+    writer = df.write.mode("overwrite").option("header", True).option("encoding", encoding)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.csv(path)
