@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import PRODUCTS, SALES, STORES
+from tests.conftest import PRODUCTS, SALES, STORES, star
+from tillwright.operators import facts
 from tillwright.sources import files, schemas, sinks
 
 HEADS = {"products": "product_id,product_name,category,cost_price,retail_price", "stores": "store_id,store_location,monthly_rent",
@@ -84,3 +85,70 @@ def test_columns_are_taken_by_name(spark, tmp_path):
     (tmp_path / "q.csv").write_text(",".join(names[1:]) + "\n")
     with pytest.raises(ValueError, match=names[0]):
         files.text_scan(spark, str(tmp_path / "q.csv"), schemas.PRODUCTS)
+
+
+def test_quarantine_stores_rejects_and_observes_their_counts_in_one_scan(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text(HEADS["sales"] + "\n1,101,201,2025/10/1,two,1.00\n2,101,x,2025/13/1,3,\n3,1,1,2025/1/2,1,9.99\n")
+    text = files.text_scan(spark, str(tmp_path / "sales.csv"), schemas.SALES)
+    scans = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+
+    held = files.quarantine(text.mapInArrow(seen, text.schema), schemas.SALES, str(tmp_path / "held"), {"sale_date": "yyyy/M/d"})
+    assert held.counts == {"sale_id": 0, "product_id": 0, "store_id": 1, "sale_date": 1, "quantity": 1, "total_amount": 0}
+    assert {r.sale_id: (r[files.REJECTS], r[files.RAW]) for r in held.rejects.collect()} == {
+        1: (["quantity"], {"quantity": "two"}), 2: (["store_id", "sale_date"], {"store_id": "x", "sale_date": "2025/13/1"})}
+    assert held.rows.schema == schemas.SALES and held.rows.count() == 3
+    assert held.rows.filter("sale_id = 2").first().quantity == 3
+    assert scans.value == 3
+    counted = files.reject_counts(files.standardise(text, schemas.SALES, {"sale_date": "yyyy/M/d"}))
+    assert {r.column_name: r.rejected for r in counted.collect()} == {n: c for n, c in held.counts.items() if c}
+    assert "PartitionFilters: [isnotnull(_held" in held.rejects._jdf.queryExecution().toString()
+
+
+def test_quarantine_of_a_clean_and_an_empty_table(spark, tmp_path):
+    write_star(tmp_path)
+    _, sales, _ = files.load_star(spark, str(tmp_path), kept_in=str(tmp_path / "kept"))
+    _, plain, _ = files.load_star(spark, str(tmp_path))
+    assert sorted(sales.collect()) == sorted(plain.collect())
+    (tmp_path / "none.csv").write_text(HEADS["sales"] + "\n")
+    held = files.quarantine(files.text_scan(spark, str(tmp_path / "none.csv"), schemas.SALES), schemas.SALES, str(tmp_path / "none"))
+    assert held.rows.count() == held.rejects.count() == 0 and set(held.counts.values()) == {0}
+
+
+def test_maps_never_exceed_their_limit(spark):
+    for keys in (0, 1, 64, 65, 16_000):
+        units = spark.range(keys).select(F.concat(F.lit("item "), F.col("id").cast("string")).alias("name"), (F.col("id") * 2).alias("units"))
+        maps = sinks.bounded_maps(units, "name", "units", limit=64)
+        shards = maps.collect()
+        assert {k: v for s in shards for k, v in s.entries.items()} == {f"item {i}": 2 * i for i in range(keys)}
+        assert all(0 < len(s.entries) <= 64 for s in shards)
+    assert any(s.part for s in shards)  # a shard that was cut
+    for i in (0, 17, 15_999):
+        assert sinks.map_of(maps, f"item {i}").first().entries[f"item {i}"] == 2 * i
+
+
+def test_bucketed_tables_join_and_sum_without_a_shuffle(spark, tmp_path):
+    products, sales, stores = star(spark)
+    names = {"bucketed_sales": sales, "bucketed_products": products}
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        files.save_bucketed(names, "product_id", 3, str(tmp_path))
+        for key, value in zip(kept, ("false", "-1")):
+            spark.conf.set(key, value)
+        joined = spark.table("bucketed_sales").join(spark.table("bucketed_products"), "product_id", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        summed = facts.product_facts(spark.table("bucketed_sales"), spark.table("bucketed_products"))
+        assert "Exchange" not in summed._jdf.queryExecution().executedPlan().toString()
+        assert sorted(joined.select("sale_id", "product_name").collect()) == sorted(sales.join(products, "product_id").select("sale_id", "product_name").collect())
+        detail = facts.sales_detail(spark.table("bucketed_sales"), spark.table("bucketed_products"), stores)
+        assert detail._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # both sides of the stores' join
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -15,6 +15,16 @@ def quartiles(value: Column) -> Column:
     return F.percentile(value, [0.25, 0.75])
 
 
+def sketched_quartiles(value: Column, accuracy: int = 10_000) -> Column:
+    """Quartiles from a mergeable sketch: values whose rank is off by at most 1 / ``accuracy`` of the group.
+
+    For groups whose values don't fit one buffer: ``quartiles`` holds every different value of a group, the sketch
+    about ``accuracy`` of them, and tasks send sketches instead of values. Its quartiles are values of the group,
+    not interpolated ones.
+    """
+    return F.percentile_approx(value, [0.25, 0.75], accuracy)
+
+
 def upper_fence(q: Column) -> Column:
     return q[1] + FENCE * (q[1] - q[0])
 
@@ -23,9 +33,10 @@ def lower_fence(q: Column) -> Column:
     return q[0] - FENCE * (q[1] - q[0])
 
 
-def summary(series: DataFrame) -> DataFrame:
-    """Length, mean, sample deviation, maximum and level fence per series."""
-    q = quartiles(F.when(F.col("revenue") > 0, F.col("revenue")))
+def summary(series: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Length, mean, sample deviation, maximum and level fence per series; with ``accuracy``, the fence from sketched quartiles."""
+    opened = F.when(F.col("revenue") > 0, F.col("revenue"))
+    q = sketched_quartiles(opened, accuracy) if accuracy else quartiles(opened)
     return series.groupBy("series_key").agg(
         F.count("*").alias("days"),
         F.avg("revenue").alias("mean_revenue"),

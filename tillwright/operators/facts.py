@@ -12,11 +12,19 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tillwright.functions.scalars import gross_profit, rate
+from tillwright.operators.skew import spread_join
 
 
-def sales_detail(sales: DataFrame, products: DataFrame, stores: DataFrame, how: str = "left") -> DataFrame:
-    """One row per sale with product, store, profit and margin rate."""
-    joined = sales.join(products, "product_id", how).join(stores, "store_id", how)
+def sales_detail(sales: DataFrame, products: DataFrame, stores: DataFrame, how: str = "left", spread: int = 1) -> DataFrame:
+    """One row per sale with product, store, profit and margin rate.
+
+    ``spread`` above 1 splits each measured hot product and store over so many
+    tasks without adaptive execution, at the price of one count per dimension.
+    """
+    if spread > 1:
+        joined = spread_join(spread_join(sales, products, "product_id", how, spread), stores, "store_id", how, spread)
+    else:
+        joined = sales.join(products, "product_id", how).join(stores, "store_id", how)
     profit = gross_profit(F.col("total_amount"), F.col("cost_price"), F.col("quantity"))
     return joined.withColumns({
         "gross_profit": profit,

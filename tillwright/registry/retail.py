@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F, types as T
 
 from tillwright.functions import scalars
-from tillwright.operators import facts, kpi
+from tillwright.operators import anomalies, facts, kpi
 from tillwright.plans import charts, mart
 from tillwright.registry.common import DETAIL, PRODUCTS, SALES, STORES, Registry
 from tillwright.session import shared_folder
@@ -90,6 +90,22 @@ def _(spark, d):
     return files.reject_counts(files.standardise(text, T.StructType(kept)))
 
 
+@add("reject_quarantine", f"""WITH {SALES} SELECT sale_id, line_number, store_id, 'n/a' AS quantity_text,
+  CAST(total_amount AS DOUBLE) AS total_amount, CAST((SELECT count(*) FROM sales WHERE quantity % 7 = 0) AS BIGINT) AS observed
+  FROM (SELECT * EXCLUDE line_number, CAST(line_number AS BIGINT) AS line_number FROM sales) WHERE quantity % 7 = 0""")
+def _(spark, d):
+    """Rejected rows read back from where they were put aside, with the count that was observed on the way."""
+    text = tables.sales(spark, d).select(
+        *(F.col(c).cast("string") for c in ("sale_id", "line_number", "product_id", "store_id")), F.date_format("sale_date", "yyyy/M/d").alias("sale_date"),
+        F.when(F.col("quantity") % 7 == 0, F.lit("n/a")).otherwise(F.col("quantity").cast("string")).alias("quantity"),
+        F.col("total_amount").cast("string"),
+    )
+    schema = T.StructType([*schemas.SALES.fields, T.StructField("line_number", T.LongType())])
+    held = files.quarantine(text, schema, f"{shared_folder(spark)}/quarantine-{uuid.uuid4().hex}", {"sale_date": "yyyy/M/d"})
+    return held.rejects.select("sale_id", "line_number", "store_id", F.col(files.RAW)["quantity"].alias("quantity_text"), "total_amount",
+                               F.lit(held.counts["quantity"]).cast("bigint").alias("observed"))
+
+
 @add("dataset_profile", """SELECT count(*) AS row_count, CAST(6 AS BIGINT) AS column_count,
   strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_time FROM events""")
 def _(spark, d):
@@ -110,6 +126,20 @@ def _(spark, d):
     )
 
 
+@add("product_units_shards", f"""WITH {DETAIL}, u AS (
+  SELECT product_name, CAST(sum(quantity) AS BIGINT) AS units, md5(product_name) AS h FROM detail GROUP BY 1), n AS (SELECT count(*) AS n FROM u),
+  p AS (SELECT u.*, substr(h, 1, CASE WHEN n <= 100 THEN 0 WHEN n <= 1600 THEN 1 WHEN n <= 25600 THEN 2 WHEN n <= 409600 THEN 3 ELSE 4 END) AS shard
+    FROM u CROSS JOIN n),
+  r AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY h, product_name) - 1) // 100 AS part FROM p)
+  SELECT shard, CAST(part AS BIGINT) AS part, min(h) AS first_hash, count(*) AS products, CAST(sum(units) AS BIGINT) AS total_units FROM r GROUP BY 1, 2""")
+def _(spark, d):
+    """The product map in shards of 100 entries at most."""
+    units = kpi.units_by_product(_products(spark, d), with_category=False)
+    shards = sinks.bounded_maps(units, "product_name", "total_units", limit=100)
+    return shards.select("shard", "part", "first_hash", F.cardinality("entries").cast("bigint").alias("products"),
+                         F.aggregate(F.map_values("entries"), F.lit(0).cast("bigint"), lambda total, n: total + n).alias("total_units"))
+
+
 @add("store_records", f"""WITH {DETAIL} SELECT '{{"store_location":"' || store_location || '","total_units":' ||
   CAST(sum(quantity) AS BIGINT) || '}}' AS record FROM detail GROUP BY store_location""")
 def _(spark, d):
@@ -134,6 +164,28 @@ def _(spark, d):
     )
 
 
+_UNORDERED = f"WITH {DETAIL} SELECT {_DETAIL_COLUMNS} FROM detail"
+_SHOWN = ("sale_id", "line_number", "product_id", "product_name", "category", "store_id", "store_location",
+          "sale_date", "quantity", "total_amount", "gross_profit")
+
+
+@add("sales_detail_spread", _UNORDERED)
+def _(spark, d):
+    """The fact table with measured hot products and stores split over tasks."""
+    detail = facts.sales_detail(tables.sales(spark, d), tables.products(spark, d), tables.stores(spark, d), spread=16)
+    return detail.select(*_SHOWN, F.round("gross_margin_rate", 6).alias("gross_margin_rate"))
+
+
+@add("sales_detail_bucketed", _UNORDERED)
+def _(spark, d):
+    """The fact table from catalog tables that are bucketed by product, so that sales stay where they are."""
+    mark, buckets = uuid.uuid4().hex[:12], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sales, products = f"sales_{mark}", f"products_{mark}"
+    files.save_bucketed({sales: tables.sales(spark, d), products: tables.products(spark, d)}, "product_id", buckets, f"{shared_folder(spark)}/bucketed")
+    detail = facts.sales_detail(spark.table(sales), spark.table(products), tables.stores(spark, d))
+    return detail.select(*_SHOWN, F.round("gross_margin_rate", 6).alias("gross_margin_rate"))
+
+
 @add("sales_detail_inner", f"""WITH {DETAIL} SELECT category, store_location, count(*) AS sales_count,
   CAST(sum(profit) AS DOUBLE) AS gross_profit FROM detail
   WHERE product_name IS NOT NULL AND store_location IS NOT NULL AND category <> 'ECONOMY' GROUP BY 1, 2""")
@@ -176,6 +228,28 @@ def _(spark, d):
                          scalars.two_decimals(F.col("avg_order_amount")).alias("avg_text"))
 
 
+@add("amount_quartiles", f"""WITH {_ORDERS}, q AS (SELECT category, quantile_cont(amount, 0.25) AS q1, quantile_cont(amount, 0.75) AS q3,
+  count(*) AS order_count FROM orders_c GROUP BY 1) SELECT category, order_count, round(q1, 4) AS q1, round(q3, 4) AS q3,
+  true AS sketch_within_bound FROM q""")
+def _(spark, d):
+    """Exact quartiles of the order amounts, and whether the sketched ones keep their rank bound of a thousandth."""
+    orders = tables.category_orders(spark, d)
+    groups = orders.groupBy(F.col("category").alias("of")).agg(
+        F.count("*").alias("order_count"), anomalies.quartiles(F.col("amount")).alias("exact"),
+        anomalies.sketched_quartiles(F.col("amount"), 1_000).alias("sketch"))
+    ranked = orders.join(groups, F.equal_null("category", "of")).groupBy("category").agg(
+        F.first("order_count").alias("order_count"), F.first("exact").alias("exact"),
+        *(F.count_if(test).alias(name) for i in (0, 1) for name, test in (
+            (f"below{i}", F.col("amount") < F.col("sketch")[i]), (f"upto{i}", F.col("amount") <= F.col("sketch")[i]))))
+    slack = F.col("order_count") * 0.001 + 1
+
+    def near(i: int, share: float):
+        return (F.col(f"below{i}") <= F.col("order_count") * share + slack) & (F.col(f"upto{i}") >= F.col("order_count") * share - slack)
+
+    return ranked.select("category", "order_count", F.round(F.col("exact")[0], 4).alias("q1"), F.round(F.col("exact")[1], 4).alias("q3"),
+                         (near(0, 0.25) & near(1, 0.75)).alias("sketch_within_bound"))
+
+
 @add("category_totals_above", f"""WITH {_ORDERS}
   SELECT category, CAST(sum(amount) AS BIGINT) AS total_sales,
   round(CAST(sum(amount) AS DOUBLE) / count(*), 4) AS avg_order_amount FROM orders_c GROUP BY 1

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tillwright.sources import schemas
 
 REJECTS = "_rejected"
+RAW = "_raw"
+HELD = "_held"
 
 
 def text_scan(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8") -> DataFrame:
@@ -41,11 +44,12 @@ def _typed(field: T.StructField, formats: Mapping[str, str]) -> Column:
     return column.try_cast(field.dataType)
 
 
-def standardise(df: DataFrame, schema: T.StructType, formats: Mapping[str, str] | None = None) -> DataFrame:
+def standardise(df: DataFrame, schema: T.StructType, formats: Mapping[str, str] | None = None, raw: bool = False) -> DataFrame:
     """Text columns to the types of ``schema``.
 
     A value that does not convert becomes NULL and its column is named in the
-    array ``_rejected``; the row itself stays.
+    array ``_rejected``; the row itself stays. With ``raw``, the map ``_raw`` has the
+    rejected texts by column.
     """
     formats = formats or {}
     typed = {f.name: _typed(f, formats) for f in schema.fields}
@@ -53,7 +57,34 @@ def standardise(df: DataFrame, schema: T.StructType, formats: Mapping[str, str]
         F.array(*[F.when(F.col(n).isNotNull() & c.isNull(), F.lit(n)) for n, c in typed.items()]),
         lambda name: name.isNotNull(),
     )
-    return df.select(*[c.alias(n) for n, c in typed.items()], bad.alias(REJECTS))
+    texts = F.map_from_entries(F.filter(
+        F.array(*[F.struct(F.lit(n).alias("column_name"), F.when(c.isNull(), F.col(n)).alias("text")) for n, c in typed.items()]),
+        lambda entry: entry["text"].isNotNull(),
+    ))
+    return df.select(*[c.alias(n) for n, c in typed.items()], bad.alias(REJECTS), *([texts.alias(RAW)] if raw else []))
+
+
+class Quarantine(NamedTuple):
+    """All typed rows, the rows with a rejected value and its text, and the rejected values counted by column."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def quarantine(text: DataFrame, schema: T.StructType, folder: str, formats: Mapping[str, str] | None = None) -> Quarantine:
+    """Types the rows and stores them in ``folder``, those with a rejected value apart, in one scan of ``text``.
+
+    The counts are observed while the rows are written. A column none of whose values is rejected counts 0.
+    Rejected rows stay among ``rows`` with NULL for the value, as in ``standardise``; what reads
+    ``rejects`` opens their files only.
+    """
+    typed = standardise(text, schema, formats, raw=True)
+    seen = Observation()
+    counted = typed.observe(seen, *[F.count_if(F.array_contains(REJECTS, f.name)).alias(f.name) for f in schema.fields])
+    counted.withColumn(HELD, F.size(REJECTS) > 0).write.mode("overwrite").partitionBy(HELD).parquet(folder)
+    stored = text.sparkSession.read.schema(T.StructType([*typed.schema.fields, T.StructField(HELD, T.BooleanType())])).parquet(folder)
+    return Quarantine(stored.drop(REJECTS, RAW, HELD), stored.filter(HELD).drop(HELD), dict(seen.get))
 
 
 def reject_counts(standardised: DataFrame) -> DataFrame:
@@ -64,10 +95,16 @@ def reject_counts(standardised: DataFrame) -> DataFrame:
     )
 
 
-def load_star(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``products``, ``sales`` and ``stores`` from one folder of CSV files."""
+def load_star(spark: SparkSession, folder: str, kept_in: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``products``, ``sales`` and ``stores`` from one folder of CSV files.
+
+    With ``kept_in``, the typed tables are stored in that folder, rejects apart (``quarantine``), and read from there.
+    """
     def load(name: str, schema: T.StructType, formats: Mapping[str, str] | None = None) -> DataFrame:
-        return standardise(text_scan(spark, f"{folder}/{name}.csv", schema), schema, formats).drop(REJECTS)
+        text = text_scan(spark, f"{folder}/{name}.csv", schema)
+        if kept_in:
+            return quarantine(text, schema, f"{kept_in}/{name}", formats).rows
+        return standardise(text, schema, formats).drop(REJECTS)
 
     return (
         load("products", schemas.PRODUCTS),
@@ -112,6 +149,19 @@ def save_tables(tables: Mapping[str, DataFrame]) -> None:
         frame.write.mode("overwrite").saveAsTable(name)
 
 
+def save_bucketed(tables: Mapping[str, DataFrame], key: str, buckets: int, folder: str | None = None) -> None:
+    """Each frame as a catalog table in ``buckets`` sets of files by ``key``, each sorted by it.
+
+    Tables saved with the same ``buckets`` join on ``key`` and sum by it without a shuffle. Rows are dealt
+    before the write, so that a bucket is one file and not one per task. ``folder`` takes the tables' files.
+    """
+    for name, frame in tables.items():
+        writer = frame.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+        if folder:
+            writer = writer.option("path", f"{folder}/{name}")
+        writer.saveAsTable(name)
+
+
 def profile(df: DataFrame, time_column: str) -> DataFrame:
     """Row count, column count, first and last time in one pass."""
     return df.agg(

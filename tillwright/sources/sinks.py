@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -32,6 +32,7 @@ def as_maps(df: DataFrame, key: str, value: str, digits: int = 2) -> DataFrame:
 
     One map of everything would have to fit one task. ``digits`` hexadecimal
     digits give 16^digits shards; a lookup goes to the shard of its key.
+    ``bounded_maps`` chooses the shards by the data.
     """
     return (
         df.filter(F.col(key).isNotNull())
@@ -40,6 +41,34 @@ def as_maps(df: DataFrame, key: str, value: str, digits: int = 2) -> DataFrame:
     )
 
 
+def bounded_maps(df: DataFrame, key: str, value: str, limit: int = 10_000) -> DataFrame:
+    """Key → value maps of at most ``limit`` entries at any size: shard, part, first_hash, entries.
+
+    The number of shards follows from the counted keys, so that a shard of equal hash digits holds about
+    ``limit`` entries or fewer; it is then cut in the order of the hashes where it holds more. A key's map is the
+    one with the largest first_hash not above the key's hash in the key's shard (``map_of``). Keys are distinct.
+    """
+    rows = df.filter(F.col(key).isNotNull()).select(key, value)
+    keys, digits = rows.count(), 0
+    while limit * 16**digits < keys:
+        digits += 1
+    hashed = rows.select(key, value, F.md5(F.col(key).cast("string")).alias("hash"))
+    placed = hashed.withColumn("shard", F.substring("hash", 1, digits))
+    place = F.row_number().over(Window.partitionBy("shard").orderBy("hash", key))
+    return (
+        placed.withColumn("part", F.floor((place - 1) / limit).cast("int"))
+        .groupBy("shard", "part")
+        .agg(F.min("hash").alias("first_hash"), F.map_from_entries(F.collect_list(F.struct(key, value))).alias("entries"))
+    )
+
+
+def map_of(maps: DataFrame, key: str) -> DataFrame:
+    """The one row of ``bounded_maps`` in which ``key`` is, if it is anywhere; maps themselves aren't sorted or moved."""
+    mine = F.md5(F.lit(key))
+    found = maps.filter(mine.startswith(F.col("shard")) & (F.col("first_hash") <= mine))
+    return found.orderBy(F.desc("first_hash")).limit(1)
+
+
 def shard_of(key: Column, digits: int = 2) -> Column:
     return F.substring(F.md5(key.cast("string")), 1, digits)
 
