@@ -1,9 +1,11 @@
+import decimal
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from tillwright.functions.beta import beta_cdf, beta_quantile, beta_sf
+from tillwright.functions.beta_tails import mass_above, mass_below
 from tillwright.functions.scalars import ln_choose, ln_gamma, normal_cdf
 from tillwright.operators import bayes
 
@@ -150,3 +152,56 @@ def test_any_number_of_impressions(spark, n):
 def test_small_upper_tails_keep_their_digits(spark):
     got = spark.range(1).select(beta_sf(F.lit(1.0), F.lit(50.0), F.lit(0.6)).alias("p")).first().p
     assert got == pytest.approx(0.4**50, rel=1e-10)
+
+
+def posteriors():
+    """Counts of 0 to 10^8 impressions at several rates under four priors, with rates around the mean and fixed ones."""
+    for n in (0, 10, 100, 10_000, 1_000_000, 100_000_000):
+        for share in (0, 0.0001, 0.05, 0.5, 1):
+            for a0, b0 in ((10, 200), (1, 1), (0.5, 0.5), (25, 475)):
+                a, b = a0 + int(n * share), b0 + n - int(n * share)
+                mean, sd = a / (a + b), math.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))
+                yield from ((float(a), float(b), x) for x in (0.05, 0.31, *(mean + d * sd for d in (-6, -1, 0, 0.5, 2, 8))) if 0 < x < 1)
+
+
+def exact_tail(a: float, b: float, x: float) -> decimal.Decimal:
+    """P(θ > x) for whole a and b as a binomial sum in sixty digits."""
+    with decimal.localcontext(prec=60):
+        n, rate = int(a + b - 1), decimal.Decimal(x)
+        hit, miss, ways, total = rate.ln(), (1 - rate).ln(), decimal.Decimal(1), decimal.Decimal(0)
+        for k in range(int(a)):
+            total += ways * (hit * k + miss * (n - k)).exp()
+            ways = ways * (n - k) / (k + 1)
+        return total
+
+
+def test_tails_on_the_jvm_are_exact(spark):
+    cases = list(posteriors())
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i long, a double, b double, x double")
+    cols = F.col("a"), F.col("b"), F.col("x")
+    tails = df.withColumns({"below": mass_below(*cols), "above": mass_above(*cols)})
+    assert "EvalPython" not in tails._jdf.queryExecution().toString()
+    rows = tails.withColumn("udf", beta_sf(*cols)).orderBy("i").collect()
+    summed = [(r, exact_tail(r.a, r.b, r.x)) for r in rows if r.a <= 25 and r.a % 1 == r.b % 1 == 0]
+    assert len(summed) > 100
+    assert max(abs(decimal.Decimal(r.above) - t) for r, t in summed) < 1e-12
+    assert max(abs(1 - decimal.Decimal(r.below) - t) for r, t in summed) < 1e-12
+    long_sums = [r for r in rows if r.a == 10_001 and r.b == 99_990_001]
+    assert long_sums and max(abs(decimal.Decimal(r.above) - exact_tail(r.a, r.b, r.x)) for r in long_sums) < 1e-12
+    # The UDFs lose digits where one parameter is far larger than the other: 1 - x has fewer digits than a small x.
+    even = [abs(r.above - r.udf) for r in rows if max(r.a, r.b) <= 100 * min(r.a, r.b)]
+    assert len(even) > 100 and max(even) < 2e-12
+    assert max(abs(r.above - r.udf) for r in rows) < 2e-9
+    small = [(r, t) for r, t in summed if 1e-250 < t < 1e-6]
+    assert small and all(abs(decimal.Decimal(r.above) - t) < decimal.Decimal(1e-9) * t for r, t in small)
+
+
+def test_tails_on_the_jvm_at_the_edges(spark):
+    df = spark.createDataFrame([(3.0, 4.0, 0.0), (3.0, 4.0, 1.0), (3.0, 4.0, -1.0), (3.0, None, 0.5), (2e6, 3e6, 0.0), (2e6, 3e6, 1e-9)], "a double, b double, x double")
+    cols = F.col("a"), F.col("b"), F.col("x")
+    rows = df.select(mass_below(*cols).alias("below"), mass_above(*cols).alias("above")).collect()
+    assert [(r.below, r.above) for r in rows] == [(0, 1), (1, 0), (0, 1), (None, None), (0, 1), (0, 1)]
+
+
+def test_the_gate_runs_without_python(pilot):
+    assert "EvalPython" not in bayes.gated(bayes.posterior(pilot))._jdf.queryExecution().toString()

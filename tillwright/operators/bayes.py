@@ -11,7 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwright.functions.beta import beta_cdf, beta_quantile, beta_sf
+from tillwright.functions.beta import beta_cdf, beta_quantile
+from tillwright.functions.beta_tails import mass_above, mass_below
 from tillwright.functions.scalars import ln_binomial, rate
 from tillwright.operators.ordered import running_totals
 
@@ -82,14 +83,14 @@ def with_interval(df: DataFrame, level: float = 0.95, which: str = "post") -> Da
 def mass_between(df: DataFrame, low: float, high: float, which: str = "post") -> DataFrame:
     """Adds the probability that the rate lies in [low, high]."""
     a, b = F.col(f"alpha_{which}"), F.col(f"beta_{which}")
-    return df.withColumn("mass", beta_cdf(a, b, F.lit(high)) - beta_cdf(a, b, F.lit(low)))
+    return df.withColumn("mass", mass_below(a, b, F.lit(high)) - mass_below(a, b, F.lit(low)))
 
 
 def exceedance(df: DataFrame, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
     """One row per trial and threshold with P(θ > threshold)."""
     each = F.explode(F.array(*[F.lit(float(t)) for t in thresholds]))
     out = df.withColumn("threshold", each)
-    return out.withColumn("p_above", beta_sf(F.col("alpha_post"), F.col("beta_post"), F.col("threshold")))
+    return out.withColumn("p_above", mass_above(F.col("alpha_post"), F.col("beta_post"), F.col("threshold")))
 
 
 def below_lower_bound(interval: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def below_lower_bound(interval: DataFrame) -> DataFrame:
 
 def gated(df: DataFrame, above: float = GATE_RATE, at_least: float = GATE_PROBABILITY) -> DataFrame:
     """Adds P(θ > above) and the rollout decision."""
-    p = beta_sf(F.col("alpha_post"), F.col("beta_post"), F.lit(above))
+    p = mass_above(F.col("alpha_post"), F.col("beta_post"), F.lit(above))
     return df.withColumn("p_above", p).withColumn(
         "decision", F.when(F.col("p_above") >= at_least, "roll_out").otherwise("hold")
     )
@@ -118,7 +119,7 @@ def prior_sensitivity(df: DataFrame, priors: Sequence[tuple[str, float, float]]
         "prior": F.col("_p.tag"), "effective_n": F.col("_p.a") + F.col("_p.b"),
     }).drop("_p")
     out = with_interval(out.withColumn("post_mean", beta_mean(F.col("alpha_post"), F.col("beta_post"))))
-    return out.withColumn("p_above", beta_sf(F.col("alpha_post"), F.col("beta_post"), F.lit(above)))
+    return out.withColumn("p_above", mass_above(F.col("alpha_post"), F.col("beta_post"), F.lit(above)))
 
 
 def prior_from_past(df: DataFrame) -> DataFrame:
