@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.llm import suffix_tree
 from tests.llm.conftest import AWKWARD, documents, prose
 from tillwright.llm import pst, quality, registry, toxicity
 from tillwright.llm.common import remainder, table
@@ -54,10 +55,10 @@ def test_lm_runs_are_exact_in_chunks(monkeypatch):
     for text in TEXTS:
         chunk.add(text)
     want = brute_runs(TEXTS, 4)
-    assert set(pst.frequent(chunk, 4)) == set(want)
+    assert set(suffix_tree.frequent(chunk, 4)) == set(want)
     names, numbers, place = chunk.arrays()
-    every = sorted({*want, *(w for r in want for w in r.split(b" "))}, key=pst.code_of)
-    runs = pst.Runs([r for r in every if b" " not in r], [pst.code_of(r) for r in every])
+    every = sorted({*want, *(w for r in want for w in r.split(b" "))}, key=suffix_tree.code_of)
+    runs = suffix_tree.Runs([r for r in every if b" " not in r], [suffix_tree.code_of(r) for r in every])
     counts = np.zeros(len(every), int)
     for slots in runs.ending(runs.of(names)[numbers], place):
         counts += np.bincount(slots[slots >= 0], minlength=len(counts))
@@ -72,7 +73,7 @@ def test_lm_is_a_distribution_over_the_next_symbol():
     times = np.bincount(numbers)
     root = (times + 0.1) / (times.sum() + 0.1 * (len(names) + 1))
     counts = brute_runs(TEXTS, 2) | {w: int(n) for w, n in zip(names, times)}
-    tree = pst.grow(counts, dict(zip(names, root)), 0.5)
+    tree = suffix_tree.grow(counts, dict(zip(names, root)), 0.5)
     assert (tree.rest < 1).sum() > 3
     for context in ([], [b"a"], [b"a", b"b"], [b"c", b"a", b"b"], [b"e"], [b"f", b"a"]):
         total = 0.1 / (times.sum() + 0.1 * (len(names) + 1)) * np.prod([1.0])
@@ -109,11 +110,40 @@ def test_lm_tables_equal_the_tree_in_memory_and_pass_by_the_driver(spark, monkey
     names, numbers, place = chunk.arrays()
     times = np.bincount(numbers)
     root = (times + 0.1) / (times.sum() + 0.1 * (len(names) + 1))
-    tree = pst.grow(brute_runs(TEXTS, 2) | {w: int(n) for w, n in zip(names, times)}, dict(zip(names, root)), 0.5)
+    tree = suffix_tree.grow(brute_runs(TEXTS, 2) | {w: int(n) for w, n in zip(names, times)}, dict(zip(names, root)), 0.5)
     each = tree.log10(tree.runs.of(names)[numbers], place, root[numbers])
     assert [got[k] for k in range(len(TEXTS))] == pytest.approx(np.add.reduceat(each, np.flatnonzero(place == 0)).tolist())
 
 
+def test_lm_small_blocks_hot_words_and_many_tasks_equal_the_tree_in_memory(spark):
+    """Every word dealt to several tasks, a block or two texts each, held-out texts with words of their own."""
+    pick = np.random.default_rng(8)
+    texts = TEXTS + [" ".join(pick.choice(list("abcdefgh"), int(pick.integers(0, 30)), p=[0.4, 0.2, 0.1, 0.1, 0.05, 0.05, 0.05, 0.05])) for _ in range(80)]
+    held = [*["new a b c", "a b new c a b"], *texts[::7]]
+    docs = spark.createDataFrame([*enumerate(texts), *((1000 + k, t) for k, t in enumerate(held))], "doc_id long, text string")
+    chunk, everything = pst.Chunk(), pst.Chunk()
+    for text in texts:
+        chunk.add(text)
+    names, numbers, _ = chunk.arrays()
+    times = np.bincount(numbers)
+    root = (times + 0.1) / (times.sum() + 0.1 * (len(names) + 1))
+    tree = suffix_tree.grow(brute_runs(texts, 2) | {w: int(n) for w, n in zip(names, times)}, dict(zip(names, root)), 0.5)
+    for text in texts + held:
+        everything.add(text)
+    known, (every, numbers, place) = dict(zip(names, root)), everything.arrays()
+    base = np.array([known.get(w, 0.1 / (times.sum() + 0.1 * (len(names) + 1))) for w in every])
+    want = np.add.reduceat(tree.log10(tree.runs.of(every)[numbers], place, base[numbers]), np.flatnonzero(place == 0))
+    for sizes in ({"hot": 10, "share": 150, "block": 60}, {"hot": 1, "share": 50, "block": 200}, {"share": 100}, {}):
+        got = {r.doc_id: r.score for r in pst.score(docs, F.col("doc_id") >= 1000, gain=0.5, **sizes).collect()}
+        assert [got[k] for k in [*range(len(texts)), *range(1000, 1000 + len(held))]] == pytest.approx(want.tolist())
+
+
+@pytest.mark.parametrize("columns", [[[]], [[0, 0, 0]], [[1, 2**63, 255, 256], [7], []], [list(range(70_000))]])
+def test_lm_columns_of_bytes_come_back(columns):
+    arrays = [np.array(c, np.uint64) for c in columns]
+    assert [x.view(np.uint64).tolist() for x in pst.unpacked(pst.packed(*arrays))] == columns
+
+
 def test_ordinal_model_orders_four_grades():
     pick = np.random.default_rng(1)
     words = [f"w{k}" for k in range(8)]

@@ -1,11 +1,9 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 Symbols are a text's words and one end. The root is the smoothed distribution of
-single symbols (the base); a context is a run of up to ``DEPTH`` words. The tree's
+single symbols (the base); a context is a run of up to three words. The tree's
 statistics are the runs of symbols that occur ``least`` times or more in the training
-texts, the same bar at every size of the corpus. They are counted by the 64-bit codes
-of runs and grown by joins, one length after another; the tree is a table of codes,
-which grows with the corpus and which no process holds whole.
+texts, the same bar at every size of the corpus.
 
 A context is retained if its next-symbol distribution diverges from that of its
 longest retained suffix: by ``gain`` nats over its occurrences. It is smoothed by
@@ -13,37 +11,45 @@ absolute discounting towards that suffix, P(w | s) = (n(s, w) - d) / n(s) + rest
 * P(w | suffix), for the counted runs s w; all else is the suffix's. A text is
 scored from the longest retained suffix of what stands before each symbol.
 
-Documents meet the counts of their words, and the tree, by blocks of about ``BLOCK`` bytes
-of text: a block asks for the code of each of its distinct runs once, and texts are
-shuffled once. ``frequent``, ``Runs``, ``grow`` and ``Tree`` do the same in memory; tests
-compare the tables with them.
+All contexts that end in one word, and all that their tests and smoothing need, lie in
+one part of the tree, a branch. So texts are packed into blocks of ``block`` bytes or less; a block
+asks for the numbers of its words, and sends each branch its different windows of three
+words and a next symbol, with the number of training occurrences and the documents they stand in.
+A task grows its branches from the windows of all blocks and answers with one sum of
+log10 P per document and task, held in single precision. Windows travel sorted, as differences,
+in compressed columns of bytes. The branch of a word with more than ``hot`` training occurrences is dealt to several
+tasks by the word before; the pairs that the word begins are then counted on their own, and
+each of the tasks gets the word's distribution. No task holds more than its share of the
+windows, which are summed per block, and nothing of the tree passes through the driver.
 
 Null texts are empty (an end only). A null doc_id counts as the empty id in the
-hold-out rule. Repeated rows are scored, and learned from, each.
+hold-out rule. Repeated rows are scored, and learned from, each. A text longer than a
+block is a block of its own. An empty table gives an empty one. Columns other than
+doc_id and text are not read.
 """
 
 from __future__ import annotations
 
-import dataclasses
-from collections import Counter
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.session import durable
 
 DEPTH = 3
-BLOCK = 16 << 20
-CHUNK = 4_000_000  # symbols
-SENT = 1 << 17  # rows of a batch
+BLOCK = 16 << 20  # bytes of text
+SHARE = 20 << 20  # bytes of text whose windows a task holds, on average
+HOT = 1 << 20  # occurrences
 END = b"\n"
 DISCOUNT = 0.75
-STEP = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the rolling hash
+STEP = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier that scatters numbers
+PIECES = "block long, part long, blob binary"
 
 
 def tokens(text: str) -> list[bytes]:
@@ -78,324 +84,393 @@ class Chunk:
         return list(self.numbers), np.concatenate(self.parts or [np.zeros(0, np.int32)]), place
 
 
-def chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Chunk]:
-    """The texts in chunks of ``limit`` symbols, and up to twice as many in the last."""
-    before, chunk = None, Chunk()
-    for batch in batches:
-        for text in batch.column("text"):
-            chunk.add(text.as_py())
-            if chunk.size >= limit:
-                if before:
-                    yield before
-                before, chunk = chunk, Chunk()
-    if before and chunk.size:
-        names = list(chunk.numbers)
-        for part in chunk.parts:
-            before.parts.append(np.fromiter((before.numbers[names[i]] for i in part), np.int32, len(part)))
-        before.size += chunk.size
-        chunk = before
-    elif before:
-        chunk = before
-    if chunk.size:
-        yield chunk
-
-
-def frequent(chunk: Chunk, least: float) -> list[bytes]:
-    """The runs of 2 to DEPTH + 1 symbols that occur ``least`` times or more; the parts of a frequent run are frequent."""
-    names, numbers, place = chunk.arrays()
-    code = numbers.astype(np.int64)
-    alive = np.bincount(numbers)[numbers] >= least
-    found: list[bytes] = []
-    for size in range(2, DEPTH + 2):
-        at = np.flatnonzero(alive[1:] & alive[:-1] & (place[1:] >= size - 1)) + 1
-        if not len(at):
-            break
-        pairs = code[at - 1] * (int(code.max()) + 1) + code[at]
-        order = np.sort(pairs)
-        first = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]]))
-        often = order[first][np.diff(np.append(first, len(order))) >= least]
-        slot, there = lookup(often, pairs)
-        at, slot = at[there], slot[there]
-        one = np.zeros(len(often), np.int64)
-        one[slot] = at
-        found += [b" ".join([names[k] for k in numbers[i - size + 1:i + 1]]) for i in one]
-        alive = np.zeros(len(numbers), bool)
-        alive[at] = True
-        code[at] = slot
-    return found
-
-
-def hashed(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
-
-
-def code_of(run: bytes) -> int:
-    """The code of a run: the sum of its hashed symbols times STEP to the power of their distance from its end, plus one."""
-    return sum(hashed(w) * pow(int(STEP), k, 1 << 64) for k, w in enumerate(reversed(run.split(b" ")), 1)) % (1 << 64)
-
-
-def lookup(table: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the codes in the sorted table, and whether they are there."""
-    if not len(table):
-        return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
-    slot = np.minimum(np.searchsorted(table, codes), len(table) - 1)
-    return slot, table[slot] == codes
-
-
-class Runs:
-    """Codes of runs in order; the single words among them by name. The names of longer runs aren't held."""
-
-    def __init__(self, words: list[bytes], longer: list[int] | np.ndarray):
-        own = np.array([code_of(w) for w in words], np.uint64)
-        self.codes = np.unique(np.concatenate([own, np.asarray(longer, np.uint64)]))
-        slots = np.searchsorted(self.codes, own)
-        self.single = dict(zip(words, slots.tolist()))
-        self.hashes = np.zeros(len(self.codes), np.uint64)
-        self.hashes[slots] = np.array([hashed(w) for w in words], np.uint64)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Slots of single words, -1 for words that are in no run."""
-        return np.array([self.single.get(w, -1) for w in words], np.int64)
-
-    def ending(self, single: np.ndarray, place: np.ndarray) -> Iterator[np.ndarray]:
-        """For sizes 1 to DEPTH + 1: the slots of the runs that end at each symbol, -1 for none. ``single``: the symbols' own slots."""
-        yield single
-        alive = np.flatnonzero(single >= 0)
-        codes = np.zeros(len(single), np.uint64)
-        codes[alive] = self.hashes[single[alive]] * STEP
-        for size in range(2, DEPTH + 2):
-            alive = alive[place[alive] >= size - 1]
-            front = single[alive - (size - 1)]
-            alive, front = alive[front >= 0], front[front >= 0]
-            codes[alive] += self.hashes[front] * np.uint64(pow(int(STEP), size, 1 << 64))
-            slot, there = lookup(self.codes, codes[alive])
-            alive = alive[there]
-            slots = np.full(len(single), -1)
-            slots[alive] = slot[there]
-            yield slots
-
-
-@dataclasses.dataclass
-class Tree:
-    """Per run: as a context, the weight of its suffix (1 if it isn't retained); as context and next symbol, what it adds."""
-
-    runs: Runs
-    rest: np.ndarray
-    adds: np.ndarray
-
-    def log10(self, single: np.ndarray, place: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """log10 P of every symbol given what stands before it; ``base``: their probabilities at the root."""
-        found, before = base.copy(), None
-        for ends in self.runs.ending(single, place):
-            if before is not None:  # contexts one symbol shorter, which end before the symbol; the shortest come first
-                at = np.flatnonzero((before[:-1] >= 0) & (place[1:] > 0)) + 1
-                rest = self.rest[before[at - 1]]
-                add = np.where(ends[at] >= 0, self.adds[ends[at]], 0.0)
-                found[at] = np.where(rest < 1, found[at] * rest + add, found[at])
-            before = ends
-        return np.log10(found)
-
-
-def grow(counts: dict[bytes, int], root: dict[bytes, float], gain: float) -> Tree:
-    """The tree of exact counts of runs (single words too) and the root's probabilities of their words."""
-    following: dict[bytes, list[tuple[bytes, int]]] = {}
-    for run, n in counts.items():
-        context, _, word = run.rpartition(b" ")
-        if context and context in counts:
-            following.setdefault(context, []).append((word, n))
-    rest: dict[bytes, float] = {}
-    adds: dict[bytes, float] = {}
-
-    def probability(context: bytes, word: bytes) -> float:
-        """P(word | longest retained suffix of context)."""
-        while context and context not in rest:
-            context = context.partition(b" ")[2]
-        if not context:
-            return root[word]
-        return adds.get(context + b" " + word, 0.0) + rest[context] * probability(context.partition(b" ")[2], word)
-
-    for context in sorted(following, key=lambda c: (c.count(b" "), c)):
-        total, shorter = counts[context], context.partition(b" ")[2]
-        own = {w: (n - DISCOUNT) / total for w, n in following[context]}
-        left = 1 - sum(own.values())
-        gained = sum(n * np.log((own[w] + left * p) / p) for w, n in following[context] for p in [probability(shorter, w)])
-        gained += (total - sum(n for _, n in following[context])) * np.log(max(left, 1e-9))
-        if gained >= gain:
-            rest[context] = left
-            adds |= {context + b" " + w: p for w, p in own.items()}
-    names = sorted(counts, key=code_of)
-    runs = Runs([r for r in names if b" " not in r], [code_of(r) for r in names])
-    return Tree(runs, np.array([rest.get(r, 1.0) for r in names]), np.array([adds.get(r, 0.0) for r in names]))
-
-
-def rolled(hashes: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For sizes 1 to DEPTH + 1: where runs of the size end, and the code of the run that ends at each symbol."""
-    codes = hashes * STEP
-    yield np.arange(len(hashes)), codes
-    for size in range(2, DEPTH + 2):
-        at = np.flatnonzero(place >= size - 1)
-        codes = codes.copy()
-        codes[at] += hashes[at - (size - 1)] * np.uint64(pow(int(STEP), size, 1 << 64))
-        yield at, codes
-
-
-def signed(codes: np.ndarray) -> pa.Array:
-    return pa.array(codes.view(np.int64))
+def hashes_of(names: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64)
 
 
-def hashes_of(names: list[bytes]) -> np.ndarray:
-    return np.array([hashed(w) for w in names], np.uint64)
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers as compressed planes of their bytes, no more planes than the largest number needs."""
+    parts = []
+    for column in columns:
+        values = np.ascontiguousarray(column).astype("<u8")
+        planes = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+        raw = values.view(np.uint8).reshape(-1, 8)
+        bodies = [pa.compress(np.ascontiguousarray(raw[:, k]).tobytes(), codec="zstd", asbytes=True) for k in range(planes)]
+        parts += [struct.pack(f"<QB{planes}Q", len(values), planes, *map(len, bodies)), *bodies]
+    return b"".join(parts)
 
 
-def counted_runs(training: DataFrame) -> DataFrame:
-    """size, code, n, and the codes of context (all but the last symbol) and suffix (all but the first), of the runs of 2 to DEPTH + 1 symbols.
+def unpacked(blob: bytes) -> list[np.ndarray]:
+    at, columns = 0, []
+    while at < len(blob):
+        size, planes = struct.unpack_from("<QB", blob, at)
+        lengths = struct.unpack_from(f"<{planes}Q", blob, at + 9)
+        at += 9 + 8 * planes
+        raw = np.zeros((size, 8), np.uint8)
+        for k, length in enumerate(lengths):
+            raw[:, k] = np.frombuffer(pa.decompress(blob[at:at + length], size, codec="zstd"), np.uint8) if size else 0
+            at += length
+        columns.append(raw.view("<u8").reshape(-1).astype(np.int64))
+    return columns
 
-    Tasks sum up each chunk before the shuffle, so a run sends one row per chunk however often it occurs.
-    """
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, CHUNK // 4):
-            names, numbers, place = chunk.arrays()
-            shorter = None
-            for size, (at, codes) in enumerate(rolled(hashes_of(names)[numbers], place), 1):
-                if size > 1:
-                    own, first, n = np.unique(codes[at], return_index=True, return_counts=True)
-                    end = at[first]
-                    batch = pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(own), size, np.int8)), signed(own), signed(shorter[end - 1]), signed(shorter[end]), pa.array(n.astype(np.int64))],
-                        ["size", "code", "context", "suffix", "n"])
-                    for start in range(0, len(own), SENT):
-                        yield batch.slice(start, SENT)
-                shorter = codes
-
-    rows = training.select("text").mapInArrow(found, "size byte, code long, context long, suffix long, n long")
-    # Dealt first: chunks are summed already, and most of their runs are no other chunk's.
-    return rows.repartition("code").groupBy("size", "code").agg(F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix"))
-
-
-def coded(vocabulary: DataFrame) -> DataFrame:
-    """code and n of single words."""
-
-    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([signed(hashes_of(batch.column("word").to_pylist()) * STEP), batch.column("n")], ["code", "n"])
+def starts(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where a new combination of the sorted keys begins."""
+    flags = np.ones(len(sorted_keys[0]), bool)
+    flags[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in sorted_keys])
+    return flags
 
-    return vocabulary.select("word", "n").mapInArrow(codes, "code long, n long")
 
+def steps(values: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """Differences of values that rise inside groups; ``fresh`` flags a group's first, which stays."""
+    out = values.copy()
+    out[1:] -= np.where(fresh[1:], 0, values[:-1])
+    return out
 
-def learned(training: DataFrame, single: DataFrame, mass: float, least: int, gain: float) -> DataFrame:
-    """The tree as rows of code and rest (retained contexts: the weight of the suffix) or add (what a run adds as context and next symbol).
 
-    ``single``: code and n of single symbols. A run's context and suffix are one symbol
-    shorter and occur as often at least, so they are in the level before.
-    """
-    runs = durable(counted_runs(training).where(F.col("n") >= least))
-    level = single.where("n > 0").select("code", "n", ((F.col("n") + 0.1) / mass).alias("p"))
-    own = (F.col("n") - DISCOUNT) / F.col("total")
-    tree = None
-    for size in range(2, DEPTH + 2):
-        rows = durable(
-            runs.where(F.col("size") == size).join(level.select(F.col("code").alias("suffix"), "p"), "suffix")
-            .join(level.select(F.col("code").alias("context"), F.col("n").alias("total")), "context").select("code", "context", "n", "total", "p"))
-        known = rows.groupBy("context").agg(F.max("total").alias("of"), F.sum("n").alias("known"), F.count("*").alias("kinds"))
-        known = known.withColumn("left", 1 - (F.col("known") - DISCOUNT * F.col("kinds")) / F.col("of"))
-        gains = rows.join(known, "context").groupBy("context", "of", "known", "left").agg(
-            F.sum(F.col("n") * F.log((own + F.col("left") * F.col("p")) / F.col("p"))).alias("gained"))
-        unknown = (F.col("of") - F.col("known")) * F.log(F.greatest("left", F.lit(1e-9)))
-        kept = durable(gains.where(F.col("gained") + unknown >= gain).select("context", "left"))
-        level = durable(rows.join(kept, "context", "left").select(
-            "code", "n", F.coalesce(own + F.col("left") * F.col("p"), F.col("p")).alias("p"), F.when(F.col("left").isNotNull(), own).alias("add")))
-        none = F.lit(None).cast("double")
-        grown = kept.select(F.col("context").alias("code"), F.col("left").alias("rest"), none.alias("add")).union(
-            level.where("add IS NOT NULL").select("code", none.alias("rest"), "add"))
-        tree = grown if tree is None else tree.union(grown)
-    return tree
-
-
-def column_by_code(answers: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """The codes that have a value in the column, in order, and the values."""
-    part = answers.filter(pc.is_valid(answers[name]))
-    codes = part["code"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(codes)
-    return codes[order], part[name].to_numpy()[order]
-
-
-def looked_up(found: tuple[np.ndarray, np.ndarray], codes: np.ndarray, default: float) -> np.ndarray:
-    """The values of the codes in a column by code."""
-    slot, there = lookup(found[0], codes)
-    values = np.full(len(codes), default, found[1].dtype)
-    values[there] = found[1][slot[there]]
-    return values
-
-
-def score(docs: DataFrame, held_out: Column, least: int = 2, gain: float = 4.0) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; documents held out aren't learned from."""
-    rows = docs.select("doc_id", held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+def summed(differences: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """The values that ``steps`` made differences of."""
+    if not len(differences):
+        return differences
+    total, first = np.cumsum(differences), np.flatnonzero(fresh)
+    return total - np.repeat(total[first] - differences[first], np.diff(np.append(first, len(total))))
+
+
+def scattered(numbers: np.ndarray) -> np.ndarray:
+    return ((numbers.astype(np.uint64) * STEP) >> np.uint64(33)).astype(np.int64)
+
+
+def pieces_of(group: pa.Table) -> list[tuple[int, int, bytes]]:
+    return sorted(zip(group["block"].to_pylist(), group["part"].to_pylist(), group["blob"].to_pylist()), key=lambda p: p[:2])
+
+
+def as_pieces(rows: list[tuple], first: str = "block", second: str = "part") -> pa.Table:
+    columns = list(zip(*rows)) or [(), (), ()]
+    return pa.table({first: pa.array(columns[0], pa.int64()), second: pa.array(columns[1], pa.int64()), "blob": pa.array(columns[2], pa.binary())})
+
+
+def stored(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def reread(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all()
+
+
+def blocks_of(rows: DataFrame, limit: int) -> DataFrame:
+    """block, blob (doc_id, held_out and text of its rows), ends (rows that are learned from) and bytes of text."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        number, size = TaskContext.get().partitionId() << 33, 0
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def handed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+            table = pa.Table.from_batches(held)
+            ends = table.num_rows - sum(table["held_out"].to_pylist())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([stored(table)], pa.binary()), pa.array([ends], pa.int64()), pa.array([size], pa.int64())],
+                ["block", "blob", "ends", "bytes"])
 
-        counts, size = Counter(), 0
         for batch in batches:
-            for held, text in zip(batch.column("held_out"), batch.column("text")):
-                words = tokens(text.as_py())
-                counts.update(words)
-                if held.as_py():
-                    counts.subtract(words)
-                size += len(words)
-                if size >= CHUNK:
+            start = 0
+            for k, text in enumerate(batch.column("text")):
+                length = text.as_buffer().size
+                if size and size + length > limit:
+                    held.append(batch.slice(start, k - start))
                     yield handed()
-                    counts, size = Counter(), 0
-        yield handed()
+                    held, start, size, number = [], k, 0, number + 1
+                size += length
+            held.append(batch.slice(start))
+        if sum(b.num_rows for b in held):
+            yield handed()
 
-    vocabulary = durable(rows.select("held_out", "text").mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    n_ends, size = rows.agg(F.count_if(~F.col("held_out")), F.sum(F.octet_length("text"))).first()
-    n_words, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    total, kinds = n_words + n_ends, distinct + (n_ends > 0)
-    mass = total + 0.1 * (kinds + 1)
-    ends = rows.sparkSession.createDataFrame([(END, n_ends)], "word binary, n long")
-    single = durable(coded(vocabulary.unionByName(ends)))
-    none = F.lit(None).cast("double")
-    tree = learned(rows.where(~F.col("held_out")), single, mass, least, gain)
-    known = single.select("code", "n", none.alias("rest"), none.alias("add")).unionByName(tree.withColumn("n", F.lit(None).cast("long")))
-    blocks = max(1, -(-(size or 0) // BLOCK))
-    placed = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(blocks)).cast("int"))
-
-    def asked(group: pa.Table) -> pa.Table:
-        chunk = Chunk()
-        for text in group["text"]:
-            chunk.add(text.as_py())
-        names, numbers, place = chunk.arrays()
-        codes = np.concatenate([np.unique(codes[at]) for at, codes in rolled(hashes_of(names)[numbers], place)])
-        return pa.table({"block": pa.array(np.full(len(codes), group["block"][0].as_py(), np.int32)), "code": signed(codes)})
+    return rows.mapInArrow(cut, "block long, blob binary, ends long, bytes long")
 
-    def scored(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = Chunk()
-        for text in texts["text"]:
+
+class Symbols:
+    """The symbols of a block: words by hash in the order in which their numbers are asked for, and where each symbol stands."""
+
+    def __init__(self, blob: bytes, ranges: int):
+        self.rows, chunk = reread(blob), Chunk()
+        for text in self.rows["text"]:
             chunk.add(text.as_py())
-        names, numbers, place = chunk.arrays()
+        names, self.local, self.place = chunk.arrays()
+        self.end = chunk.numbers[END]
         hashes = hashes_of(names)
-        times, rests, adds = (column_by_code(answers, c) for c in ("n", "rest", "add"))
-        n = looked_up(times, hashes * STEP, 0)
-        base = ((n + 0.1) / mass)[numbers]
-        found, shorter = base.copy(), None
-        for size, (at, codes) in enumerate(rolled(hashes[numbers], place), 1):
-            if size > 1:  # contexts one symbol shorter, which end before the symbol; the shortest come first
-                rest = looked_up(rests, shorter[at - 1], 1.0)
-                at, rest = at[rest < 1], rest[rest < 1]
-                found[at] = found[at] * rest + looked_up(adds, codes[at], 0.0)
-            shorter = codes
-        model = np.log10(found)
-        first = np.flatnonzero(place == 0)
+        words = np.delete(np.arange(len(names)), self.end)
+        own = hashes[words] % np.uint64(ranges)
+        self.order = words[np.lexsort((hashes[words], own))]
+        self.hashes, self.range = hashes[self.order], (hashes[self.order] % np.uint64(ranges)).astype(np.int64)
+        self.first = np.flatnonzero(self.place == 0)
+        self.doc = np.repeat(np.arange(len(self.first)), np.diff(np.append(self.first, len(self.local))))
+        self.learned = ~np.array(self.rows["held_out"].to_pylist(), bool)[self.doc]
+
+    def numbered(self, answers: list[bytes], n_ends: int) -> None:
+        """Take the words' numbers (from 1; the end's is 0) and training counts."""
+        parts = [unpacked(a) for a in answers]
+        numbers, n = (np.concatenate([np.zeros(0, np.int64), *(p[k] for p in parts)]) for k in (0, 1))
+        if len(numbers) != len(self.order):
+            raise RuntimeError("the answers are not those of this block's words")
+        self.number, self.n = np.zeros(len(numbers) + 1, np.int64), np.zeros(len(numbers) + 1, np.int64)
+        self.number[self.order], self.n[self.order] = numbers, n
+        self.n[self.end] = n_ends
+
+    def before(self, distance: int) -> np.ndarray:
+        """Local number of the word so far before each symbol, the end's if there is none."""
+        found = np.full(len(self.local), self.end, self.local.dtype)
+        at = np.flatnonzero(self.place >= distance)
+        found[at] = self.local[at - distance]
+        return found
+
+
+def asked(ranges: int):
+    """A block's words, by ranges of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, blob in zip(batch.column("block").to_pylist(), batch.column("blob")):
+                s = Symbols(blob.as_py(), ranges)
+                n = np.bincount(s.local[s.learned], minlength=len(s.order) + 1)[s.order]
+                cuts = np.searchsorted(s.range, np.arange(ranges + 1))
+                rows = [(block, r, packed(steps(s.hashes[a:b], np.arange(b - a) == 0), n[a:b])) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+                yield from as_pieces(rows).to_batches()
+
+    return run
+
+
+def numbering(ranges: int):
+    """Numbers and training counts of a range's words, frequent words first, for each block that asked; and one row of totals."""
+
+    def run(group: pa.Table) -> pa.Table:
+        pieces = pieces_of(group)
+        own, lists = pieces[0][1], [unpacked(p[2]) for p in pieces]
+        lists = [(np.cumsum(h.astype(np.uint64)), n) for h, n in lists]
+        words, slot = np.unique(np.concatenate([h for h, _ in lists]), return_inverse=True)
+        n = np.bincount(slot, np.concatenate([n for _, n in lists]), len(words)).astype(np.int64)
+        number = np.empty(len(words), np.int64)
+        number[np.argsort(-n, kind="stable")] = np.arange(len(words)) * ranges + own + 1
+        parts = np.split(slot, np.cumsum([len(h) for h, _ in lists])[:-1])
+        table = as_pieces([(block, own, packed(number[p], n[p])) for (block, *_), p in zip(pieces, parts)] + [(-1, own, b"")])
+        none = [0] * len(pieces)
+        return table.append_column("n", pa.array([*none, int(n.sum())], pa.int64())).append_column("kinds", pa.array([*none, int((n > 0).sum())], pa.int64()))
+
+    return run
+
+
+def opened(group: pa.Table, ranges: int, n_ends: int) -> tuple[int, Symbols]:
+    """The block of a group of its text (part -1) and the answers to its words."""
+    pieces = pieces_of(group)
+    symbols = Symbols(pieces[0][2], ranges)
+    symbols.numbered([p[2] for p in pieces[1:]], n_ends)
+    return pieces[0][0], symbols
+
+
+def splits(n: np.ndarray, hot: int) -> np.ndarray:
+    """How many tasks share the branch of a word with n occurrences."""
+    return np.maximum(1, -(-n // hot))
+
+
+def windows(ranges: int, shards: int, hot: int, n_ends: int, mass: float):
+    """shard, block, blob: a block's different windows, and (shard below 0) what its documents need besides."""
+
+    def run(group: pa.Table) -> pa.Table:
+        block, s = opened(group, ranges, n_ends)
+        base = np.log10((s.n + 0.1) / mass)[s.local]
+        docs = pa.table({
+            "doc_id": s.rows["doc_id"], "held_out": s.rows["held_out"], "n_tokens": np.diff(np.append(s.first, len(s.local))),
+            "n_known": np.add.reduceat((s.n[s.local] > 0).astype(np.int64), s.first), "base_score": np.add.reduceat(base, s.first), "first": base[s.first]})
+        rows = [(-1 - block, block, stored(docs))]
+        by_number = np.argsort(s.number)
+        rank = np.empty(len(by_number), np.uint64)
+        rank[by_number] = np.arange(len(by_number))  # the end, and no word, come first
+        later = np.flatnonzero(s.place > 0)
+        w, c, b, a = (rank[x[later]] for x in (s.local, s.before(1), s.before(2), s.before(3)))
+        high, low, shift = c << np.uint64(32) | b, a << np.uint64(32) | w, np.uint64(32)
+        order = np.lexsort((low, high))
+        high, low, at = high[order], low[order], later[order]
+        first = np.flatnonzero(starts(high, low)) if len(at) else np.zeros(0, np.int64)
+        times = np.diff(np.append(first, len(at)))
+        n = np.add.reduceat(s.learned[at].astype(np.int64), first) if len(at) else times
+        c, b, a, w = (by_number[x.astype(np.int64)] for x in (high[first] >> shift, high[first] & np.uint64(0xFFFFFFFF), low[first] >> shift, low[first] & np.uint64(0xFFFFFFFF)))
+        shard = (scattered(s.number[c]) + scattered(s.number[b] + 1) % splits(s.n[c], hot)) % shards
+        kept = np.argsort(shard, kind="stable")
+        cuts = np.searchsorted(shard[kept], np.arange(shards + 1))
+        for k in np.flatnonzero(np.diff(cuts)):
+            p = kept[cuts[k]:cuts[k + 1]]
+            wide = [s.number[x[p]] for x in (c, b, a, w)]
+            which, there = np.unique(wide[3], return_index=True)
+            docs_at = np.repeat(first[p] - np.cumsum(times[p]) + times[p], times[p]) + np.arange(times[p].sum())
+            rows.append((int(k), block, packed(
+                steps(wide[0], np.arange(len(p)) == 0), steps(wide[1], starts(wide[0])), steps(wide[2], starts(*wide[:2])), wide[3],
+                n[p], times[p], s.doc[at[docs_at]], s.n[w[p]][there])))
+        return as_pieces(rows, "shard", "block")
+
+    return run
+
+
+def hot_pairs(ranges: int, hot: int, n_ends: int, parts: int):
+    """word, part, blob: next symbols of the words whose branches are dealt to several tasks."""
+
+    def run(group: pa.Table) -> pa.Table:
+        _, s = opened(group, ranges, n_ends)
+        before = s.before(1)
+        at = np.flatnonzero((s.place > 0) & s.learned & (splits(s.n, hot) > 1)[before])
+        keys, n = np.unique(before[at].astype(np.int64) * len(s.n) + s.local[at], return_counts=True)
+        word, next_ = keys // len(s.n), keys % len(s.n)
+        pairs = np.stack([s.number[word], s.number[next_] % parts, s.number[next_], s.n[next_], n])
+        pairs = pairs[:, np.lexsort(pairs[2::-1])]
+        n = pairs[4]
+        first = np.append(np.flatnonzero(starts(pairs[0], pairs[1])), len(n)) if len(n) else [0]
+        return as_pieces([(int(pairs[0][i]), int(pairs[1][i]), packed(steps(pairs[2][i:j], np.arange(j - i) == 0), n[i:j], pairs[3][i:j]))
+                          for i, j in zip(first, first[1:])], "word", "part")
+
+    return run
+
+
+def pair_sums(group: pa.Table) -> pa.Table:
+    """The next symbols of one word and part (``part``) or of all parts, summed over blocks; alike for one row and many."""
+    lists = [unpacked(x) for x in group["blob"].to_pylist()]
+    words, there, slot = np.unique(np.concatenate([np.cumsum(x[0]) for x in lists]), return_index=True, return_inverse=True)
+    n = np.bincount(slot, np.concatenate([x[1] for x in lists])).astype(np.int64)
+    blob = packed(steps(words, np.arange(len(words)) == 0), n, np.concatenate([x[2] for x in lists])[there])
+    return as_pieces([(group["word"][0].as_py(), group["part"][0].as_py(), blob)], "word", "part")
+
+
+def judged(context: np.ndarray, n: np.ndarray, p: np.ndarray, total: np.ndarray, gain: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each context is retained, and the weight of its suffix; rows: counted runs with n and P of the suffix."""
+    size = len(total)
+    known, kinds = np.bincount(context, n, size), np.bincount(context, minlength=size)
+    of = np.maximum(total, 1)
+    left = 1 - (known - DISCOUNT * kinds) / of
+    gained = np.bincount(context, n * np.log(((n - DISCOUNT) / of[context] + left[context] * p) / p), size)
+    gained = gained + (total - known) * np.log(np.maximum(left, 1e-9))
+    return (kinds > 0) & (gained >= gain), left
+
+
+def headed(shards: int, hot: int, mass: float, least: int, gain: float):
+    """shard, block (-1), blob: a hot word's number, occurrences, whether it is retained as a context, and its counted next symbols."""
+
+    def run(group: pa.Table) -> pa.Table:
+        word = group["word"][0].as_py()
+        words, n, of = unpacked(pair_sums(group)["blob"][0].as_py())
+        words, total, often = np.cumsum(words), int(n.sum()), n >= least
+        words, n, p = words[often], n[often], (of[often] + 0.1) / mass
+        kept, _ = judged(np.zeros(len(n), np.int64), n, p, np.array([total]), gain)
+        blob = packed(np.array([word, total, int(kept[0])]), steps(words, np.arange(len(words)) == 0), n)
+        own = scattered(np.array([word]))[0] + np.arange(splits(np.array([total]), hot)[0])
+        return as_pieces([(int(k), -1, blob) for k in np.unique(own % shards)], "shard", "block")
+
+    return run
+
+
+def grown(mass: float, least: int, gain: float):
+    """block, part (shard), blob: the sums of log10 P of a block's documents over the branches of a task."""
+
+    def run(group: pa.Table) -> pa.Table:
+        shard = group["shard"][0].as_py()
+        if shard < 0:
+            return as_pieces([(b, -1, blob) for b, blob in zip(group["block"].to_pylist(), group["blob"].to_pylist())])
+        rows = sorted(zip(group["block"].to_pylist(), group["blob"].to_pylist()), key=lambda r: r[0])
+        heads = [unpacked(blob) for block, blob in rows if block < 0]
+        blocks, lists = [block for block, _ in rows if block >= 0], [unpacked(blob) for block, blob in rows if block >= 0]
+        if not lists:
+            return as_pieces([])
+        for x in lists:
+            x[0] = np.cumsum(x[0])
+            x[1] = summed(x[1], starts(x[0]))
+            x[2] = summed(x[2], starts(x[0], x[1]))
+        words, there = np.unique(np.concatenate([np.unique(x[3]) for x in lists]), return_index=True)
+        root = (np.concatenate([x[7] for x in lists])[there] + 0.1) / mass
+        c, b, a, w, n = (np.concatenate([x[k] for x in lists]) for k in range(5))
+        w = np.searchsorted(words, w)
+        order = np.lexsort((w, a, b, c))
+        c, b, a, w = c[order], b[order], a[order], w[order]
+        fresh = starts(c, b, a, w)
+        slot = np.empty(len(order), np.int64)
+        slot[order] = np.cumsum(fresh) - 1
+        n = np.bincount(slot, n)
+        c, b, a, w = c[fresh], b[fresh], a[fresh], w[fresh]
+        p = root[w]
+        for size, (keys, fits) in enumerate([((c,), np.ones(len(c), bool)), ((c, b), b > 0), ((c, b, a), a > 0)], 1):
+            context = np.cumsum(starts(*keys)) - 1
+            own = np.where(fits, n, 0.0)
+            runs, at, run_of = np.unique(context * len(words) + w, return_index=True, return_inverse=True)
+            times, of = np.bincount(run_of, own), context[at]
+            total = np.bincount(context, own)
+            often = times >= least
+            kept, left = judged(of[often], times[often], p[at][often], total, gain)
+            for (word, every, holds), next_, counts in heads if size == 1 else ():
+                next_ = np.cumsum(next_)
+                k = np.searchsorted(c, word)
+                if k < len(c) and c[k] == word:
+                    k = context[k]
+                    mine = np.flatnonzero(of == k)
+                    place, found = lookup(next_, words[w[at[mine]]])
+                    times[mine] = 0
+                    times[mine[found]] = counts[place[found]]
+                    total[k], kept[k], left[k] = every, bool(holds), 1 - (counts.sum() - DISCOUNT * len(counts)) / every
+            adds = np.where(times >= least, (times - DISCOUNT) / np.maximum(total[of], 1), 0.0)
+            p = np.where(kept[context], p * left[context] + adds[run_of], p)
+        logs = np.log10(p)[slot]
+        ends = np.cumsum([len(x[0]) for x in lists])
+        out = []
+        for block, x, end in zip(blocks, lists, ends):
+            sums = np.bincount(x[6], np.repeat(logs[end - len(x[0]):end], x[5]))
+            docs = np.unique(x[6])
+            out.append((block, shard, packed(steps(docs, np.arange(len(docs)) == 0), sums[docs].astype("<f4").view("<u4"))))
+        return as_pieces(out)
+
+    return run
+
+
+def lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the keys in the sorted table, and whether they are there."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    slot = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return slot, table[slot] == keys
+
+
+def finished(total: int):
+    """The result rows of a block from its documents (part -1) and their sums by task."""
+
+    def run(group: pa.Table) -> pa.Table:
+        pieces = pieces_of(group)
+        docs = reread(pieces[0][2])
+        score = docs["first"].to_numpy().copy()
+        for _, _, blob in pieces[1:]:
+            at, sums = unpacked(blob)
+            score[np.cumsum(at)] += sums.astype("<u4").view("<f4")
         return pa.table({
-            "doc_id": texts["doc_id"], "held_out": texts["held_out"],
-            "n_tokens": pa.array(np.diff(np.append(first, len(numbers)))), "n_known": pa.array(np.add.reduceat((n[numbers] > 0).astype(np.int64), first)),
-            "train_tokens": pa.array(np.full(len(first), total, np.int64)),
-            "base_score": pa.array(np.add.reduceat(np.log10(base), first)), "score": pa.array(np.add.reduceat(model, first))})
+            "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": docs["n_tokens"], "n_known": docs["n_known"],
+            "train_tokens": pa.array(np.full(len(score), total, np.int64)), "base_score": docs["base_score"], "score": pa.array(score)})
+
+    return run
+
+
+def score(docs: DataFrame, held_out: Column, least: int = 2, gain: float = 4.0, hot: int = HOT, share: int = SHARE, block: int = BLOCK) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; documents held out aren't learned from.
 
-    wanted = placed.groupBy("block").applyInArrow(asked, "block int, code long")
-    answers = wanted.join(known, "code").select("block", "code", "n", "rest", "add")
+    ``block``: bytes of text in a block; ``share``: bytes of text whose windows a task holds on average; ``hot``: occurrences of a word beyond which its branch is dealt to several tasks.
+    """
+    rows = docs.select("doc_id", held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        scored, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    blocks = durable(blocks_of(rows, block))
+    n_blocks, n_ends, size = blocks.agg(F.count("*"), F.coalesce(F.sum("ends"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    ranges, shards = max(1, n_blocks // 2), max(1, -(-size // share))
+    named = blocks.select("block", "blob").mapInArrow(asked(ranges), PIECES)
+    numbers = durable(named.groupBy("part").applyInArrow(numbering(ranges), PIECES + ", n long, kinds long"))
+    n_words, distinct = numbers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    total, kinds = n_words + n_ends, distinct + (n_ends > 0)
+    mass = total + 0.1 * (kinds + 1)
+    whole = blocks.select("block", F.lit(-1).cast("long").alias("part"), "blob").union(numbers.where("block >= 0").select("block", "part", "blob")).groupBy("block")
+    sent = whole.applyInArrow(windows(ranges, shards, hot, n_ends, mass), "shard long, block long, blob binary")
+    pairs = whole.applyInArrow(hot_pairs(ranges, hot, n_ends, max(1, n_blocks // 8)), "word long, part long, blob binary")
+    once = pairs.groupBy("word", "part").applyInArrow(pair_sums, "word long, part long, blob binary")
+    heads = once.groupBy("word").applyInArrow(headed(shards, hot, mass, least, gain), "shard long, block long, blob binary")
+    sums = sent.union(heads).groupBy("shard").applyInArrow(grown(mass, least, gain), PIECES)
+    return sums.groupBy("block").applyInArrow(
+        finished(total), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
