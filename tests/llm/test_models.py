@@ -138,7 +138,8 @@ def test_lm_small_blocks_hot_words_and_many_tasks_equal_the_tree_in_memory(spark
         assert [got[k] for k in [*range(len(texts)), *range(1000, 1000 + len(held))]] == pytest.approx(want.tolist())
 
 
-@pytest.mark.parametrize("columns", [[[]], [[0, 0, 0]], [[1, 2**63, 255, 256], [7], []], [list(range(70_000))]])
+@pytest.mark.parametrize("columns", [[[]], [[0, 0, 0]], [[1, 2**63, 255, 256], [7], []], [list(range(70_000))],
+                                     *([[5] * k + list(range(j))] for k in range(0, 60, 3) for j in range(4))])
 def test_lm_columns_of_bytes_come_back(columns):
     arrays = [np.array(c, np.uint64) for c in columns]
     assert [x.view(np.uint64).tolist() for x in pst.unpacked(pst.packed(*arrays))] == columns

@@ -12,7 +12,7 @@ absolute discounting towards that suffix, P(w | s) = (n(s, w) - d) / n(s) + rest
 scored from the longest retained suffix of what stands before each symbol.
 
 All contexts that end in one word, and all that their tests and smoothing need, lie in
-one part of the tree, a branch. So texts are packed into blocks of ``block`` bytes or less; a block
+one part of the tree, a branch. So texts are stored as symbols, in blocks of ``block`` bytes of text or less; a block
 asks for the numbers of its words, and sends each branch its different windows of three
 words and a next symbol, with the number of training occurrences and the documents they stand in.
 A task grows its branches from the windows of all blocks and answers with one sum of
@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 from tillwright.session import durable
 
 DEPTH = 3
-BLOCK = 16 << 20  # bytes of text
-SHARE = 20 << 20  # bytes of text whose windows a task holds, on average
-HOT = 1 << 20  # occurrences
+BLOCK = 8 << 20  # bytes of text
+SHARE = 10 << 20  # bytes of text whose windows a task holds, on average
+HOT = 1 << 19  # occurrences
 END = b"\n"
 DISCOUNT = 0.75
 STEP = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier that scatters numbers
@@ -89,28 +89,31 @@ def hashes_of(names: list[bytes]) -> np.ndarray:
 
 
 def packed(*columns: np.ndarray) -> bytes:
-    """Columns of whole numbers as compressed planes of their bytes, no more planes than the largest number needs."""
+    """Columns of whole numbers as planes of their bytes, compressed where that is shorter, no more planes than the largest number needs."""
     parts = []
     for column in columns:
         values = np.ascontiguousarray(column).astype("<u8")
         planes = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
         raw = values.view(np.uint8).reshape(-1, 8)
-        bodies = [pa.compress(np.ascontiguousarray(raw[:, k]).tobytes(), codec="zstd", asbytes=True) for k in range(planes)]
-        parts += [struct.pack(f"<QB{planes}Q", len(values), planes, *map(len, bodies)), *bodies]
+        bodies = [np.ascontiguousarray(raw[:, k]).tobytes() for k in range(planes)]
+        bodies = [min(body, pa.compress(body, codec="zstd", asbytes=True), key=len) for body in bodies]
+        parts += [struct.pack(f"<IB{planes}I", len(values), planes, *map(len, bodies)), *bodies]
     return b"".join(parts)
 
 
 def unpacked(blob: bytes) -> list[np.ndarray]:
+    """The columns as signed numbers; those of 2^63 and more come back below zero."""
     at, columns = 0, []
     while at < len(blob):
-        size, planes = struct.unpack_from("<QB", blob, at)
-        lengths = struct.unpack_from(f"<{planes}Q", blob, at + 9)
-        at += 9 + 8 * planes
+        size, planes = struct.unpack_from("<IB", blob, at)
+        lengths = struct.unpack_from(f"<{planes}I", blob, at + 5)
+        at += 5 + 4 * planes
         raw = np.zeros((size, 8), np.uint8)
         for k, length in enumerate(lengths):
-            raw[:, k] = np.frombuffer(pa.decompress(blob[at:at + length], size, codec="zstd"), np.uint8) if size else 0
+            body = blob[at:at + length]
+            raw[:, k] = np.frombuffer(body if length == size else pa.decompress(body, size, codec="zstd"), np.uint8)
             at += length
-        columns.append(raw.view("<u8").reshape(-1).astype(np.int64))
+        columns.append(raw.view("<u8").reshape(-1).view("<i8"))
     return columns
 
 
@@ -161,66 +164,73 @@ def reread(blob: bytes) -> pa.Table:
 
 
 def blocks_of(rows: DataFrame, limit: int) -> DataFrame:
-    """block, blob (doc_id, held_out and text of its rows), ends (rows that are learned from) and bytes of text."""
+    """Texts as symbols: block, words (hashes in order, training counts), blob, ends (rows that are learned from) and bytes of text.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        number, size = TaskContext.get().partitionId() << 33, 0
-
-        def handed() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held)
-            ends = table.num_rows - sum(table["held_out"].to_pylist())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([stored(table)], pa.binary()), pa.array([ends], pa.int64()), pa.array([size], pa.int64())],
-                ["block", "blob", "ends", "bytes"])
+    The blob holds doc_id, held_out and n_tokens of the rows and their symbols in order: 0
+    for an end, else the word's place among the block's hashes, from 1.
+    """
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, ids, held, size = Chunk(), [], [], 0
+        number = TaskContext.get().partitionId() << 33
+
+        def handed(kind: pa.DataType) -> pa.RecordBatch:
+            names, symbols, _ = chunk.arrays()
+            sizes = np.array([len(p) for p in chunk.parts])
+            words = np.delete(np.arange(len(names)), chunk.numbers[END])
+            hashes = hashes_of(names)[words]
+            order = np.argsort(hashes)
+            local = np.zeros(len(names), np.int32)
+            local[words[order]] = np.arange(1, len(words) + 1)
+            symbols = local[symbols]
+            n = np.bincount(symbols[~np.repeat(np.array(held, bool), sizes)], minlength=len(names))[1:]
+            docs = stored(pa.table({"doc_id": pa.array(ids, kind), "held_out": pa.array(held, pa.bool_()), "n_tokens": pa.array(sizes, pa.int64())}))
+            hashes = hashes[order]
+            return pa.RecordBatch.from_pylist([{
+                "block": number, "words": packed(steps(hashes, np.arange(len(hashes)) == 0), n),
+                "blob": struct.pack("<Q", len(docs)) + docs + packed(symbols), "ends": held.count(False), "bytes": size}], ROW)
+
+        kind = pa.null()
         for batch in batches:
-            start = 0
-            for k, text in enumerate(batch.column("text")):
+            kind = batch.schema.field("doc_id").type
+            for doc_id, out, text in zip(*(batch.column(c) for c in ("doc_id", "held_out", "text"))):
                 length = text.as_buffer().size
                 if size and size + length > limit:
-                    held.append(batch.slice(start, k - start))
-                    yield handed()
-                    held, start, size, number = [], k, 0, number + 1
+                    yield handed(kind)
+                    chunk, ids, held, size, number = Chunk(), [], [], 0, number + 1
+                chunk.add(text.as_py())
+                ids.append(doc_id.as_py())
+                held.append(out.as_py())
                 size += length
-            held.append(batch.slice(start))
-        if sum(b.num_rows for b in held):
-            yield handed()
+        if ids:
+            yield handed(kind)
 
-    return rows.mapInArrow(cut, "block long, blob binary, ends long, bytes long")
+    return rows.mapInArrow(cut, "block long, words binary, blob binary, ends long, bytes long")
+
+
+ROW = pa.schema([("block", pa.int64()), ("words", pa.binary()), ("blob", pa.binary()), ("ends", pa.int64()), ("bytes", pa.int64())])
 
 
 class Symbols:
-    """The symbols of a block: words by hash in the order in which their numbers are asked for, and where each symbol stands."""
-
-    def __init__(self, blob: bytes, ranges: int):
-        self.rows, chunk = reread(blob), Chunk()
-        for text in self.rows["text"]:
-            chunk.add(text.as_py())
-        names, self.local, self.place = chunk.arrays()
-        self.end = chunk.numbers[END]
-        hashes = hashes_of(names)
-        words = np.delete(np.arange(len(names)), self.end)
-        own = hashes[words] % np.uint64(ranges)
-        self.order = words[np.lexsort((hashes[words], own))]
-        self.hashes, self.range = hashes[self.order], (hashes[self.order] % np.uint64(ranges)).astype(np.int64)
-        self.first = np.flatnonzero(self.place == 0)
-        self.doc = np.repeat(np.arange(len(self.first)), np.diff(np.append(self.first, len(self.local))))
-        self.learned = ~np.array(self.rows["held_out"].to_pylist(), bool)[self.doc]
+    """The symbols of a block by local number, the numbers and training counts of its words, and where each symbol stands."""
 
-    def numbered(self, answers: list[bytes], n_ends: int) -> None:
-        """Take the words' numbers (from 1; the end's is 0) and training counts."""
+    def __init__(self, blob: bytes, answers: list[bytes], n_ends: int):
+        docs = struct.unpack_from("<Q", blob)[0] + 8
+        self.rows = reread(blob[8:docs])
+        self.local = unpacked(blob[docs:])[0].astype(np.int32)
         parts = [unpacked(a) for a in answers]
-        numbers, n = (np.concatenate([np.zeros(0, np.int64), *(p[k] for p in parts)]) for k in (0, 1))
-        if len(numbers) != len(self.order):
+        self.number, self.n = (np.concatenate([np.array([end]), *(p[k] for p in parts)]) for k, end in enumerate((0, n_ends)))
+        if self.local.max() >= len(self.n):
             raise RuntimeError("the answers are not those of this block's words")
-        self.number, self.n = np.zeros(len(numbers) + 1, np.int64), np.zeros(len(numbers) + 1, np.int64)
-        self.number[self.order], self.n[self.order] = numbers, n
-        self.n[self.end] = n_ends
+        sizes = self.rows["n_tokens"].to_numpy()
+        self.first = np.cumsum(sizes) - sizes
+        self.place = (np.arange(len(self.local)) - np.repeat(self.first, sizes)).astype(np.int32)
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.learned = ~np.array(self.rows["held_out"].to_pylist(), bool)[self.doc]
 
     def before(self, distance: int) -> np.ndarray:
         """Local number of the word so far before each symbol, the end's if there is none."""
-        found = np.full(len(self.local), self.end, self.local.dtype)
+        found = np.zeros(len(self.local), np.int32)
         at = np.flatnonzero(self.place >= distance)
         found[at] = self.local[at - distance]
         return found
@@ -231,11 +241,11 @@ def asked(ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, blob in zip(batch.column("block").to_pylist(), batch.column("blob")):
-                s = Symbols(blob.as_py(), ranges)
-                n = np.bincount(s.local[s.learned], minlength=len(s.order) + 1)[s.order]
-                cuts = np.searchsorted(s.range, np.arange(ranges + 1))
-                rows = [(block, r, packed(steps(s.hashes[a:b], np.arange(b - a) == 0), n[a:b])) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            for block, words in zip(batch.column("block").to_pylist(), batch.column("words")):
+                differences, n = unpacked(words.as_py())
+                hashes = np.cumsum(differences.view(np.uint64))
+                cuts = np.searchsorted((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1))
+                rows = [(block, r, packed(steps(hashes[a:b], np.arange(b - a) == 0), n[a:b])) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
                 yield from as_pieces(rows).to_batches()
 
     return run
@@ -247,7 +257,7 @@ def numbering(ranges: int):
     def run(group: pa.Table) -> pa.Table:
         pieces = pieces_of(group)
         own, lists = pieces[0][1], [unpacked(p[2]) for p in pieces]
-        lists = [(np.cumsum(h.astype(np.uint64)), n) for h, n in lists]
+        lists = [(np.cumsum(h.view(np.uint64)), n) for h, n in lists]
         words, slot = np.unique(np.concatenate([h for h, _ in lists]), return_inverse=True)
         n = np.bincount(slot, np.concatenate([n for _, n in lists]), len(words)).astype(np.int64)
         number = np.empty(len(words), np.int64)
@@ -260,12 +270,10 @@ def numbering(ranges: int):
     return run
 
 
-def opened(group: pa.Table, ranges: int, n_ends: int) -> tuple[int, Symbols]:
-    """The block of a group of its text (part -1) and the answers to its words."""
+def opened(group: pa.Table, n_ends: int) -> tuple[int, Symbols]:
+    """The block of a group of its symbols (part -1) and the answers to its words."""
     pieces = pieces_of(group)
-    symbols = Symbols(pieces[0][2], ranges)
-    symbols.numbered([p[2] for p in pieces[1:]], n_ends)
-    return pieces[0][0], symbols
+    return pieces[0][0], Symbols(pieces[0][2], [p[2] for p in pieces[1:]], n_ends)
 
 
 def splits(n: np.ndarray, hot: int) -> np.ndarray:
@@ -273,28 +281,27 @@ def splits(n: np.ndarray, hot: int) -> np.ndarray:
     return np.maximum(1, -(-n // hot))
 
 
-def windows(ranges: int, shards: int, hot: int, n_ends: int, mass: float):
+def windows(shards: int, hot: int, n_ends: int, mass: float):
     """shard, block, blob: a block's different windows, and (shard below 0) what its documents need besides."""
 
     def run(group: pa.Table) -> pa.Table:
-        block, s = opened(group, ranges, n_ends)
+        block, s = opened(group, n_ends)
         base = np.log10((s.n + 0.1) / mass)[s.local]
         docs = pa.table({
-            "doc_id": s.rows["doc_id"], "held_out": s.rows["held_out"], "n_tokens": np.diff(np.append(s.first, len(s.local))),
+            "doc_id": s.rows["doc_id"], "held_out": s.rows["held_out"], "n_tokens": s.rows["n_tokens"],
             "n_known": np.add.reduceat((s.n[s.local] > 0).astype(np.int64), s.first), "base_score": np.add.reduceat(base, s.first), "first": base[s.first]})
         rows = [(-1 - block, block, stored(docs))]
         by_number = np.argsort(s.number)
-        rank = np.empty(len(by_number), np.uint64)
+        rank = np.empty(len(by_number), np.uint32)
         rank[by_number] = np.arange(len(by_number))  # the end, and no word, come first
-        later = np.flatnonzero(s.place > 0)
-        w, c, b, a = (rank[x[later]] for x in (s.local, s.before(1), s.before(2), s.before(3)))
-        high, low, shift = c << np.uint64(32) | b, a << np.uint64(32) | w, np.uint64(32)
+        later, shift = np.flatnonzero(s.place > 0), np.uint64(32)
+        high, low = (rank[x[later]].astype(np.uint64) << shift | rank[y[later]] for x, y in ((s.before(1), s.before(2)), (s.before(3), s.local)))
         order = np.lexsort((low, high))
         high, low, at = high[order], low[order], later[order]
         first = np.flatnonzero(starts(high, low)) if len(at) else np.zeros(0, np.int64)
         times = np.diff(np.append(first, len(at)))
         n = np.add.reduceat(s.learned[at].astype(np.int64), first) if len(at) else times
-        c, b, a, w = (by_number[x.astype(np.int64)] for x in (high[first] >> shift, high[first] & np.uint64(0xFFFFFFFF), low[first] >> shift, low[first] & np.uint64(0xFFFFFFFF)))
+        c, b, a, w = (by_number[x.astype(np.int64)] for x in (high[first] >> shift, high[first].astype(np.uint32), low[first] >> shift, low[first].astype(np.uint32)))
         shard = (scattered(s.number[c]) + scattered(s.number[b] + 1) % splits(s.n[c], hot)) % shards
         kept = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[kept], np.arange(shards + 1))
@@ -311,11 +318,11 @@ def windows(ranges: int, shards: int, hot: int, n_ends: int, mass: float):
     return run
 
 
-def hot_pairs(ranges: int, hot: int, n_ends: int, parts: int):
+def hot_pairs(hot: int, n_ends: int, parts: int):
     """word, part, blob: next symbols of the words whose branches are dealt to several tasks."""
 
     def run(group: pa.Table) -> pa.Table:
-        _, s = opened(group, ranges, n_ends)
+        _, s = opened(group, n_ends)
         before = s.before(1)
         at = np.flatnonzero((s.place > 0) & s.learned & (splits(s.n, hot) > 1)[before])
         keys, n = np.unique(before[at].astype(np.int64) * len(s.n) + s.local[at], return_counts=True)
@@ -386,7 +393,7 @@ def grown(mass: float, least: int, gain: float):
         root = (np.concatenate([x[7] for x in lists])[there] + 0.1) / mass
         c, b, a, w, n = (np.concatenate([x[k] for x in lists]) for k in range(5))
         w = np.searchsorted(words, w)
-        order = np.lexsort((w, a, b, c))
+        order = np.lexsort((a << 32 | w, c << 32 | b) if max(x.max() for x in (c, b, a, w)) < 1 << 31 else (w, a, b, c))
         c, b, a, w = c[order], b[order], a[order], w[order]
         fresh = starts(c, b, a, w)
         slot = np.empty(len(order), np.int64)
@@ -397,7 +404,9 @@ def grown(mass: float, least: int, gain: float):
         for size, (keys, fits) in enumerate([((c,), np.ones(len(c), bool)), ((c, b), b > 0), ((c, b, a), a > 0)], 1):
             context = np.cumsum(starts(*keys)) - 1
             own = np.where(fits, n, 0.0)
-            runs, at, run_of = np.unique(context * len(words) + w, return_index=True, return_inverse=True)
+            at = run_of = np.arange(len(c))  # the longest runs are the windows themselves
+            if size < DEPTH:
+                _, at, run_of = np.unique(context * len(words) + w, return_index=True, return_inverse=True)
             times, of = np.bincount(run_of, own), context[at]
             total = np.bincount(context, own)
             often = times >= least
@@ -461,14 +470,14 @@ def score(docs: DataFrame, held_out: Column, least: int = 2, gain: float = 4.0,
     blocks = durable(blocks_of(rows, block))
     n_blocks, n_ends, size = blocks.agg(F.count("*"), F.coalesce(F.sum("ends"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     ranges, shards = max(1, n_blocks // 2), max(1, -(-size // share))
-    named = blocks.select("block", "blob").mapInArrow(asked(ranges), PIECES)
+    named = blocks.select("block", "words").mapInArrow(asked(ranges), PIECES)
     numbers = durable(named.groupBy("part").applyInArrow(numbering(ranges), PIECES + ", n long, kinds long"))
     n_words, distinct = numbers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     total, kinds = n_words + n_ends, distinct + (n_ends > 0)
     mass = total + 0.1 * (kinds + 1)
     whole = blocks.select("block", F.lit(-1).cast("long").alias("part"), "blob").union(numbers.where("block >= 0").select("block", "part", "blob")).groupBy("block")
-    sent = whole.applyInArrow(windows(ranges, shards, hot, n_ends, mass), "shard long, block long, blob binary")
-    pairs = whole.applyInArrow(hot_pairs(ranges, hot, n_ends, max(1, n_blocks // 8)), "word long, part long, blob binary")
+    sent = whole.applyInArrow(windows(shards, hot, n_ends, mass), "shard long, block long, blob binary")
+    pairs = whole.applyInArrow(hot_pairs(hot, n_ends, max(1, n_blocks // 8)), "word long, part long, blob binary")
     once = pairs.groupBy("word", "part").applyInArrow(pair_sums, "word long, part long, blob binary")
     heads = once.groupBy("word").applyInArrow(headed(shards, hot, mass, least, gain), "shard long, block long, blob binary")
     sums = sent.union(heads).groupBy("shard").applyInArrow(grown(mass, least, gain), PIECES)
