@@ -111,6 +111,25 @@ def test_keep_bitmaps_are_runs(spark):
     assert runs == {d: ([(0, 1), (3, 3)], 3) for d in range(5)}
 
 
+def test_line_in_a_third_of_all_rows_is_no_one_tasks(spark):
+    """Adaptive execution off, 16 partitions: the largest has less than three times an even share, and every row meets its hash."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 2000 + 100).alias("h1"), F.lit(1).cast("long").alias("h2"), F.col("id").alias("doc_id"),
+        F.col("id").alias("row"))
+    counts = rows.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for key, value in zip(old, ("false", "16", "-1")):
+            spark.conf.set(key, value)
+        got = linededup.met(rows, counts).select("h1", "doc_id", "n_docs", "keeper", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    assert len(got) == 30_000 == len({r.doc_id for r in got}) and {r.keeper for r in got if r.h1 == 7} == {29_999 - 29_999 % 3}
+    assert all((r.h1 == 7) == (r.doc_id % 3 == 0) for r in got) and {r.n_docs for r in got if r.h1 == 7} == {10_000}
+    assert max(Counter(r.task for r in got).values()) < 3 * 30_000 / 16
+
+
 def test_mixing_replicates_to_target_shares(spark, awkward, empty):
     rows = [(k, "x" * 99, "big" if k % 10 else "small") for k in range(4000)]
     from tests.llm.conftest import documents

@@ -5,8 +5,8 @@ A-Z lower-cased). Hashes are range-partitioned with the document as second key,
 so that a line with a third of all rows is spread over many tasks, and sorted by
 hash, document and position. Streaming over that order folds the lines of a
 document into one row of (hash, document); a second, map-side combined sum gives
-each hash its number of documents and the document whose copy stays. What
-returns to the documents is no text but a compressed bitmap: the runs of dropped
+each hash its number of documents and the document whose copy stays. A hash that
+many documents hold meets them in several tasks (``met``). What returns to the documents is no text but a compressed bitmap: the runs of dropped
 positions.
 
 A null text is one empty line. Documents are told apart by doc_id; rows that
@@ -47,6 +47,21 @@ def long_lines(docs: DataFrame, least_chars: int) -> DataFrame:
         "doc_id", "row", "position", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
 
 
+def met(held: DataFrame, repeated: DataFrame, parts: int = 256) -> DataFrame:
+    """``held`` joined with ``repeated`` on the hash; a hash with more than one ``parts``-th of all documents' rows is dealt to several tasks by document.
+
+    Such hashes are fewer than ``parts``, so Spark may broadcast them, and their rows in
+    ``repeated`` are copied at most twice ``parts`` times.
+    """
+    total = repeated.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
+    counted = repeated.withColumn("_salts", F.ceil(F.col("n_docs") * parts / F.lit(max(1, total))).cast("int"))
+    hot = counted.where("_salts > 1").select("h1", "h2", "_salts")
+    dealt = held.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64("doc_id", "row"), F.col("_salts")).cast("int"), F.lit(0))).drop("_salts")
+    copies = counted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    return dealt.join(copies, ["h1", "h2", "_salt"]).drop("_salt")
+
+
 def keep_bitmaps(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> DataFrame:
     """doc_id, row, ``dropped`` (runs of line positions that go, in order) and n_dropped, for documents that lose lines."""
     lines = durable(long_lines(docs, least_chars))
@@ -55,8 +70,8 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
     held = in_order.groupBy("h1", "h2", "doc_id", "row").agg(F.collect_set("position").alias("positions"))
     documents = lines.select("h1", "h2", "doc_id").distinct()
     repeated = documents.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
-    repeated = repeated.where(F.col("n_docs") >= least_docs)
-    gone = held.join(repeated, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    repeated = durable(repeated.where(F.col("n_docs") >= least_docs))
+    gone = met(held, repeated).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     by_doc = gone.groupBy("doc_id", "row").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("at"))
     firsts = F.filter("at", lambda x, i: (i == 0) | (F.get("at", i - 1) != x - 1))
     lasts = F.filter("at", lambda x, i: (i == F.size("at") - 1) | (F.get("at", i + 1) != x + 1))
